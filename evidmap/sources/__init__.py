@@ -1,0 +1 @@
+"""Record files, stored tables and the driver's test tables."""
