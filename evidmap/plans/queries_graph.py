@@ -88,6 +88,30 @@ def v7(spark, folder):
     return graph.k_hop(links, seeds, k=2)
 
 
+@query(
+    "v7_k_hop_order_part",
+    """WITH RECURSIVE
+edges AS (SELECT DISTINCT 'order ' || l_orderkey AS a, 'part ' || l_partkey AS b FROM lineitem),
+both_ways AS (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges),
+walk AS (
+  SELECT 'order ' || o_orderkey AS id, 0 AS distance FROM orders WHERE o_custkey = 7
+  UNION SELECT b, distance + 1 FROM walk JOIN both_ways ON a = id WHERE distance < 3)
+SELECT id, CAST(min(distance) AS INTEGER) AS distance FROM walk GROUP BY id""",
+)
+def v7_orders(spark, folder):
+    # sparser than the knowledge graph: three links do not reach every node
+    links = testdata.table(spark, folder, "lineitem").select(
+        F.concat(F.lit("order "), "l_orderkey").alias("source"),
+        F.concat(F.lit("part "), "l_partkey").alias("target"),
+    )
+    seeds = (
+        testdata.table(spark, folder, "orders")
+        .where(F.col("o_custkey") == 7)
+        .select(F.concat(F.lit("order "), "o_orderkey").alias("id"))
+    )
+    return graph.k_hop(links, seeds, k=3)
+
+
 @query(
     "v8_nodes_by_property",
     with_tables("nodes", "SELECT * FROM nodes WHERE type IN ('outcome')"),

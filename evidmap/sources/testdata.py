@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidmap.functions.files import file_name_of
+from evidmap.runtime import new_folder
 
 BLANKS = "  "
 
@@ -221,3 +222,174 @@ def line_articles(spark: SparkSession, folder: str) -> DataFrame:
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         _line_id().alias("pubmed_id"), F.when(key % 19 != 0, terms).alias("mesh_terms")
     )
+
+
+# ---- documents ----------------------------------------------------------------
+
+DOCUMENTS_PER_FILE = 500
+
+# Affiliations as they occur, with the spelling variants of countries.
+AFFILIATIONS = (
+    "Department of Gynecology, Boston, USA.",
+    "Institute of Statistics, Springfield, U.S.A.",
+    "Clinica Mangiagalli, Milano, Italy .",
+    "Seoul National University, Seoul, South Korea. Electronic address: a@b.kr",
+    "King's College, London, England",
+    "Ruhr University, Bochum",
+    "University of Otago, Dunedin, New Zealand.",
+    "France and Germany Research Network, Basel",
+    "Hospital de Clinicas, Sao Paulo, BRAZIL. x@y.br, Ward 3",
+    "Ukraine State University, Kyiv",
+)
+
+
+def doc_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """One article per document, with its whole text."""
+    key = F.col("doc_id")
+    title = F.when(key % 10 == 0, F.lit("On Adenomyosis")).otherwise(F.col("source"))
+    topic = F.when(key % 6 == 0, F.lit("ENDOMETRIOSIS")).when(key % 7 != 0, F.lit("Pain"))
+    return table(spark, folder, "documents").select(
+        key.cast("string").alias("pubmed_id"),
+        title.alias("title"),
+        F.when(key % 23 != 0, F.col("text")).alias("abstract"),
+        F.array(F.col("lang"), topic).alias("mesh_terms"),
+        document_file().alias("source_file"),
+    )
+
+
+def document_file() -> Column:
+    number = F.lit(1200) + F.floor(F.col("doc_id") / DOCUMENTS_PER_FILE)
+    return file_name_of(number.cast("int"))
+
+
+def clean_text() -> Column:
+    """Document text without the characters XML does not allow, and without CR."""
+    return F.regexp_replace("text", r"[\x00-\x08\x0B-\x1F\uFFFE\uFFFF]", "")
+
+
+def _escaped(text: Column) -> Column:
+    text = F.replace(text, F.lit("&"), F.lit("&amp;"))
+    text = F.replace(text, F.lit("<"), F.lit("&lt;"))
+    return F.replace(text, F.lit(">"), F.lit("&gt;"))
+
+
+def _tag(name: str, *content: Column | str, attributes: str = "") -> Column:
+    inner = [c if isinstance(c, Column) else F.lit(c) for c in content]
+    return F.concat(F.lit(f"<{name}{attributes}>"), *inner, F.lit(f"</{name}>"))
+
+
+def _date_tag(name: str, year: str, month: str, day: str, attributes: str = "") -> Column:
+    parts = _tag("Year", year), _tag("Month", month), _tag("Day", day)
+    return _tag(name, *parts, attributes=attributes)
+
+
+def document_xml(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, source_file, xml): a record per document, with the variants of every field.
+
+    The whole text is the abstract, in two parts with inline markup. Some records
+    have no id, some do not parse.
+    """
+    key = F.col("doc_id")
+    none = F.lit("")
+    first, rest = F.substring("clean", 1, 40), F.expr("substring(clean, 41)")
+    abstract = F.concat(
+        _tag("AbstractText", _escaped(first), attributes=' Label="BACKGROUND"'),
+        F.lit("<AbstractText/>"),
+        _tag("AbstractText", "<i>", _escaped(F.substring(rest, 1, 5)), "</i>",
+             _escaped(F.expr("substring(clean, 46)"))),
+    )
+    in_pubmed = cases(
+        (key % 5 == 0, _date_tag("PubMedPubDate", "2019", "12", "31", ' PubStatus="pubmed"')),
+        (key % 5 == 1, _date_tag("PubMedPubDate", "2018", "Mar", "1", " PubStatus='pubmed'")),
+        otherwise=_date_tag("PubMedPubDate", "2001", "1", "1", ' PubStatus="entrez"'),
+    )
+    in_journal = cases(
+        (key % 5 == 1, _date_tag("PubDate", "2017", "07", "09")),
+        (key % 5 == 2, _tag("PubDate", _tag("Year", " 2016 "))),
+        otherwise=_tag("PubDate", _tag("MedlineDate", "1998 Winter")),
+    )
+    electronic = F.when(
+        key % 5 == 4, _date_tag("ArticleDate", "2015", "13", "0", ' DateType="Electronic"')
+    ).otherwise(none)
+    affiliation = F.element_at(
+        F.array(*[F.lit(a) for a in AFFILIATIONS]), (key % len(AFFILIATIONS) + 1).cast("int")
+    )
+    authors = _tag(
+        "AuthorList",
+        _tag(
+            "Author",
+            _tag("LastName", F.concat(F.lit("L"), key.cast("string"))),
+            _tag("ForeName", "A &amp; B"),
+            _tag("AffiliationInfo", _tag("Affiliation", affiliation)),
+            _tag("AffiliationInfo", _tag("Affiliation", "Oslo, Norway")),
+            attributes=' ValidYN="Y"',
+        ),
+        _tag("Author", _tag("CollectiveName", "Group")),
+    )
+    grants = F.when(
+        key % 3 == 0,
+        _tag("GrantList", _tag("Grant", _tag("GrantID", F.concat(F.lit("G"), key.cast("string"))),
+                               _tag("Agency", F.concat(F.lit("Agency "), F.col("source"))))),
+    ).otherwise(none)
+    title = F.when(
+        key % 2 == 0, _tag("ArticleTitle", " Report of ", _tag("i", F.col("lang")), " texts")
+    ).otherwise(_tag("ArticleTitle", "Adenomyosis &lt;", F.col("source"), "&gt;"))
+    topics = _tag(
+        "MeshHeadingList",
+        _tag("MeshHeading", _tag("DescriptorName", F.col("lang"), attributes=' UI="D1"')),
+        _tag("MeshHeading", _tag("DescriptorName", " ")),
+        F.when(key % 6 == 0, _tag("MeshHeading", _tag("DescriptorName", "Endometriosis"))).otherwise(none),
+    )
+    article = _tag(
+        "Article",
+        _tag("Journal", _tag("JournalIssue", in_journal), _tag("Title", "J &amp; ", F.col("source"))),
+        title,
+        _tag("Abstract", abstract),
+        authors,
+        _tag("Language", F.col("lang")),
+        grants,
+        _tag("PublicationTypeList", _tag("PublicationType", "Journal Article"),
+             _tag("PublicationType", F.col("source"))),
+        electronic,
+    )
+    number = F.when(key % 29 != 0, _tag("PMID", key.cast("string"), attributes=' Version="1"'))
+    record = _tag(
+        "PubmedArticle",
+        _tag("MedlineCitation", F.coalesce(number, none), article, topics),
+        _tag("PubmedData", _tag("History", in_pubmed)),
+    )
+    # an element that is never closed
+    broken = F.when(key % 31 == 5, F.replace(record, F.lit("</Abstract>"), none)).otherwise(record)
+    return (
+        table(spark, folder, "documents")
+        .withColumn("clean", clean_text())
+        .select("doc_id", document_file().alias("source_file"), broken.alias("xml"))
+    )
+
+
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_documents(spark: SparkSession, folder: str) -> str:
+    """Folder of gzip record files of the documents, written once per session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LANDED:
+        path = new_folder(spark, "records")
+        set_start = F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<PubmedArticleSet>\n')
+        place = F.col("doc_id") % DOCUMENTS_PER_FILE
+        line = F.concat(
+            F.when(place == 0, set_start).otherwise(F.lit("")),
+            F.col("xml"),
+            F.when(place == DOCUMENTS_PER_FILE - 1, F.lit("\n</PubmedArticleSet>")).otherwise(F.lit("")),
+        )
+        (
+            document_xml(spark, folder)
+            .repartition("source_file")
+            .sortWithinPartitions("source_file", "doc_id")
+            .select("source_file", line.alias("value"))
+            .write.partitionBy("source_file")
+            .option("compression", "gzip")
+            .text(path)
+        )
+        _LANDED[key] = path
+    return _LANDED[key]
