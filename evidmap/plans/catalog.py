@@ -29,5 +29,6 @@ def load() -> None:
     from evidmap.plans import (  # noqa: F401
         queries_evidence,
         queries_graph,
+        queries_records,
         queries_reports,
     )

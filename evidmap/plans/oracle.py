@@ -151,6 +151,34 @@ TABLES = {
       UNION ALL SELECT 'sex', sex, extraction_error FROM extractions)
     WHERE extraction_error IS NULL AND trim(value) <> '' GROUP BY 1, 2) c
   ON d.dimension = c.dimension""",
+    # what the record files of the documents hold
+    "doc_records": rf"""
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS pubmed_id, lang, source,
+    regexp_replace(text, '[\x00-\x08\x0B-\x1F\x{{FFFE}}\x{{FFFF}}]', '', 'g') AS clean,
+    printf('pubmed26n%04d.xml.gz', 1200 + doc_id // 500) AS source_file,
+    doc_id % 29 <> 0 AS has_id, doc_id % 31 <> 5 AS well_formed
+  FROM documents""",
+    "doc_fields": r"""
+  SELECT *,
+    CASE WHEN doc_id % 2 = 0 THEN 'Report of' ELSE 'Adenomyosis <' || source || '>' END AS title,
+    nullif(concat_ws(' ',
+      'BACKGROUND: ' || nullif(regexp_replace(substring(clean, 1, 40), {edge}, '', 'g'), ''),
+      nullif(regexp_replace(substring(clean, 41), {edge}, '', 'g'), '')), '') AS abstract,
+    'J & ' || source AS journal,
+    CASE doc_id % 5 WHEN 0 THEN DATE '2019-12-28' WHEN 1 THEN DATE '2017-07-09'
+      WHEN 2 THEN DATE '2016-01-01' WHEN 4 THEN DATE '2015-12-01' END AS pub_date,
+    CASE WHEN doc_id % 6 = 0 THEN [lang, 'Endometriosis'] ELSE [lang] END AS mesh_terms,
+    doc_id % 6 = 0 OR doc_id % 2 = 1 OR regexp_matches(lower(clean),
+      'endometriosis|endometrioma|endometriotic|adenomyosis') AS relevant
+  FROM doc_records""".replace("{edge}", r"'^[\t-\r\x{85}\p{Z}]+|[\t-\r\x{85}\p{Z}]+$'"),
+    "doc_articles": """
+  SELECT CAST(doc_id AS VARCHAR) AS pubmed_id,
+    CASE WHEN doc_id % 10 = 0 THEN 'On Adenomyosis' ELSE source END AS title,
+    CASE WHEN doc_id % 23 <> 0 THEN text END AS abstract,
+    [lang, CASE WHEN doc_id % 6 = 0 THEN 'ENDOMETRIOSIS' WHEN doc_id % 7 <> 0 THEN 'Pain' END]
+      AS mesh_terms,
+    printf('pubmed26n%04d.xml.gz', 1200 + doc_id // 500) AS source_file
+  FROM documents""",
 }
 # Which other tables a table is made from.
 NEEDS = {
@@ -163,6 +191,7 @@ NEEDS = {
     "geography": ["authors", "articles"],
     "funding": ["grants", "articles"],
     "profile": ["extractions"],
+    "doc_fields": ["doc_records"],
 }
 
 
