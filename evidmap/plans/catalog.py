@@ -28,7 +28,9 @@ def load() -> None:
     """Import every module that registers queries."""
     from evidmap.plans import (  # noqa: F401
         queries_evidence,
+        queries_extract,
         queries_graph,
+        queries_ingest,
         queries_records,
         queries_reports,
     )

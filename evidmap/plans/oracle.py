@@ -6,6 +6,8 @@ query needs in front of it.
 
 from __future__ import annotations
 
+from evidmap.sources.testdata import DOCUMENTS_PER_FILE
+
 _DIRECTION = """CASE WHEN ({k}) % 11 = 0 THEN 'unknown' WHEN ({k}) % 13 = 0 THEN 'mixed'
     WHEN ({k}) % 3 = 0 THEN 'positive' WHEN ({k}) % 3 = 1 THEN 'negative' ELSE 'neutral' END"""
 
@@ -155,7 +157,7 @@ TABLES = {
     "doc_records": rf"""
   SELECT doc_id, CAST(doc_id AS VARCHAR) AS pubmed_id, lang, source,
     regexp_replace(text, '[\x00-\x08\x0B-\x1F\x{{FFFE}}\x{{FFFF}}]', '', 'g') AS clean,
-    printf('pubmed26n%04d.xml.gz', 1200 + doc_id // 500) AS source_file,
+    printf('pubmed26n%04d.xml.gz', 1200 + doc_id // {DOCUMENTS_PER_FILE}) AS source_file,
     doc_id % 29 <> 0 AS has_id, doc_id % 31 <> 5 AS well_formed
   FROM documents""",
     "doc_fields": r"""
@@ -171,13 +173,13 @@ TABLES = {
     doc_id % 6 = 0 OR doc_id % 2 = 1 OR regexp_matches(lower(clean),
       'endometriosis|endometrioma|endometriotic|adenomyosis') AS relevant
   FROM doc_records""".replace("{edge}", r"'^[\t-\r\x{85}\p{Z}]+|[\t-\r\x{85}\p{Z}]+$'"),
-    "doc_articles": """
+    "doc_articles": f"""
   SELECT CAST(doc_id AS VARCHAR) AS pubmed_id,
     CASE WHEN doc_id % 10 = 0 THEN 'On Adenomyosis' ELSE source END AS title,
     CASE WHEN doc_id % 23 <> 0 THEN text END AS abstract,
     [lang, CASE WHEN doc_id % 6 = 0 THEN 'ENDOMETRIOSIS' WHEN doc_id % 7 <> 0 THEN 'Pain' END]
       AS mesh_terms,
-    printf('pubmed26n%04d.xml.gz', 1200 + doc_id // 500) AS source_file
+    printf('pubmed26n%04d.xml.gz', 1200 + doc_id // {DOCUMENTS_PER_FILE}) AS source_file
   FROM documents""",
 }
 # Which other tables a table is made from.

@@ -70,8 +70,9 @@ def s2(spark, folder):
 
 @query(
     "s3_checksum_audit",
-    r"""WITH files AS (
-  SELECT printf('pubmed26n%04d.xml.gz', 1200 + doc_id // 500) AS file_name, doc_id // 500 AS n,
+    rf"""WITH files AS (
+  SELECT printf('pubmed26n%04d.xml.gz', 1200 + doc_id // {testdata.DOCUMENTS_PER_FILE})
+    AS file_name, doc_id // {testdata.DOCUMENTS_PER_FILE} AS n,
     md5(string_agg(regexp_replace(text, '\r', '', 'g') || chr(10), '' ORDER BY doc_id)) AS actual
   FROM documents GROUP BY ALL)
 SELECT file_name, actual, expected, coalesce(expected = actual, false) AS ok

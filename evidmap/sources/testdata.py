@@ -226,7 +226,7 @@ def line_articles(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- documents ----------------------------------------------------------------
 
-DOCUMENTS_PER_FILE = 500
+DOCUMENTS_PER_FILE = 200
 
 # Affiliations as they occur, with the spelling variants of countries.
 AFFILIATIONS = (
