@@ -111,12 +111,16 @@ def mesh_cooccurrence(
     )
     size = F.size("terms")
     starts = F.sequence(F.lit(1), size, F.lit(block))
-    blocks = terms.where(size > 1).select(
-        F.transform(starts, lambda i: F.slice("terms", i, block)).alias("blocks")
+    blocks = terms.select(
+        F.when(
+            size > 1, F.transform(starts, lambda i: F.slice("terms", i, block))
+        ).alias("blocks")
     )
-    # second = NULL stands for the pairs inside the first block
+    # The outer form: the inner one would be given a filter that computes the
+    # blocks a second time. second = NULL stands for the pairs inside the first block.
     rows = (
-        blocks.select(F.posexplode("blocks").alias("place", "first"), "blocks")
+        blocks.select(F.posexplode_outer("blocks").alias("place", "first"), "blocks")
+        .where(F.col("first").isNotNull())
         .select(
             "first",
             F.explode(
@@ -317,7 +321,8 @@ def treatment_shifts(articles: DataFrame, extractions: DataFrame) -> DataFrame:
     joined = dated.join(mentions, "pubmed_id")
     totals = joined.groupBy("year").agg(F.count("*").alias("year_articles"))
     counts = (
-        joined.select("year", F.explode("treatments").alias("treatment"))
+        joined.select("year", F.explode_outer("treatments").alias("treatment"))
+        .where(F.col("treatment").isNotNull())
         .groupBy("year", "treatment")
         .agg(F.count("*").alias("article_count"))
     )
@@ -335,8 +340,8 @@ def evidence_gaps(
     """Treatments with many case reports and few trials."""
     named = F.array_compact(F.transform("treatments", normalise))
     mentions = without_error(extractions).select(
-        F.explode(F.array_distinct(named)).alias("treatment"), "study_design"
-    )
+        F.explode_outer(F.array_distinct(named)).alias("treatment"), "study_design"
+    ).where(F.col("treatment").isNotNull())
     design = F.col("study_design")
     return (
         mentions.groupBy("treatment")

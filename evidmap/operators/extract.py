@@ -123,12 +123,20 @@ def _pairs(entries: Column) -> Column:
 # ---- E2 -----------------------------------------------------------------------
 
 
-def apply_extractor(abstracts: DataFrame, extractor: Callable[[str], dict | str]) -> DataFrame:
+def apply_extractor(
+    abstracts: DataFrame,
+    extractor: Callable[[str], dict | str],
+    partitions: int | None = None,
+) -> DataFrame:
     """One extraction row per (pubmed_id, abstract), from the caller's function.
 
     ``extractor`` gets an abstract and gives the answer as a dict or as JSON. It
     runs on the executors, batch by batch; what it raises becomes the row's error.
+    ``partitions`` says over how many tasks to spread the calls, else they run
+    where the rows are.
     """
+    if partitions:
+        abstracts = abstracts.repartition(partitions)
 
     def answer(text: str) -> tuple[str | None, str | None]:
         try:

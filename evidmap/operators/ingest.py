@@ -107,16 +107,15 @@ def upsert_extractions(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def current_extractions(changes: DataFrame, order: Column | None = None) -> DataFrame:
-    """The extractions a log of writes amounts to; ``order`` defaults to the write time."""
+    """The extractions a log of writes amounts to; ``order`` defaults to the write time.
+
+    The fields of a row are taken one by one, so that a reader of few of them
+    does not have the others read.
+    """
     order = F.col("extracted_ts") if order is None else order
-    fields = F.struct(*EXTRACTION_FIELDS)
-    return (
-        changes.groupBy("pubmed_id")
-        .agg(
-            F.max_by(fields, order).alias("last"),
-            F.min_by("extracted_ts", order).alias("extracted_ts"),
-        )
-        .select("pubmed_id", "last.*", "extracted_ts")
+    return changes.groupBy("pubmed_id").agg(
+        *[F.max_by(name, order).alias(name) for name in EXTRACTION_FIELDS],
+        F.min_by("extracted_ts", order).alias("extracted_ts"),
     )
 
 
