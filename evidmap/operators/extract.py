@@ -4,14 +4,15 @@ dictionary tagging (E3), run summary (E4)."""
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
+import re
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidmap.functions.text import alternation, blank_to_null, literal_map
+from evidmap.functions.text import blank_to_null, literal_map
 from evidmap.schemas import EFFECT_DIRECTIONS, PAIR, POPULATION, STUDY_DESIGNS
 
 # ---- E1 -----------------------------------------------------------------------
@@ -226,27 +227,48 @@ class TagRules:
     male: Sequence[str] = ("men", "man", "male", "males")
     subjects: Sequence[str] = ("women", "men", "patients", "participants", "subjects")
 
+    def all_words(self) -> Iterator[str]:
+        yield from self.treatments
+        yield from self.outcomes
+        for cues in (self.positive, self.negative, self.neutral, self.female, self.male):
+            yield from cues
+        for _, phrases in self.designs:
+            yield from phrases
+        yield from self.subjects
+
 
 _SENTENCE_END = r"[.!?]+(?:\s+|$)|[\r\n]+"
-_NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
-def plain_words(text: Column) -> Column:
-    """Lower-case words separated by single blanks."""
-    return F.trim(F.regexp_replace(F.lower(text), _NOT_WORD, " "))
+def plain_sentences(text: Column) -> Column:
+    """Lower-case words between single blanks, sentences between line ends."""
+    lines = F.regexp_replace(F.lower(text), _SENTENCE_END, "\n")
+    return F.regexp_replace(lines, r"[^\p{L}\p{N}\n]+", " ")
+
+
+def _between_blanks(text: Column) -> Column:
+    return F.concat(F.lit(" "), text, F.lit(" "))
+
+
+def _words(terms: Iterable[str]) -> str:
+    """Pattern for whole words in text between blanks, longest first.
+
+    The blank behind a match is left for the next one.
+    """
+    return " (" + "|".join(sorted(set(terms), key=lambda t: (-len(t), t))) + ")(?= )"
 
 
 def _named(sentence: Column, terms: dict[str, str]) -> Column:
     """Distinct names whose terms occur, longest term first where terms overlap."""
     if not terms:
         return F.array().cast("array<string>")
-    found = F.regexp_extract_all(sentence, F.lit(alternation(terms)), F.lit(1))
+    found = F.regexp_extract_all(sentence, F.lit(_words(terms)), F.lit(1))
     names = literal_map(dict(sorted(terms.items())))
     return F.array_distinct(F.transform(found, lambda t: F.element_at(names, t)))
 
 
 def _any_of(text: Column, cues: Sequence[str]) -> Column:
-    return text.rlike(alternation(cues)) if cues else F.lit(False)
+    return text.rlike(_words(cues)) if cues else F.lit(False)
 
 
 def tag_abstracts(abstracts: DataFrame, rules: TagRules | None = None) -> DataFrame:
@@ -259,19 +281,34 @@ def tag_abstracts(abstracts: DataFrame, rules: TagRules | None = None) -> DataFr
     rules = rules or TagRules()
     if len(rules.treatments) + len(rules.outcomes) > MAX_TERMS:
         raise ValueError(f"at most {MAX_TERMS} terms")
+    for word in rules.all_words():
+        if re.sub(r"[^\w]|_", " ", word.lower()) != word:
+            raise ValueError(f"not in lower-case words between single blanks: {word!r}")
 
-    text = plain_words(F.col("abstract"))
-    sentences = F.transform(F.split("abstract", _SENTENCE_END), plain_words)
+    plain = abstracts.select("pubmed_id", plain_sentences(F.col("abstract")).alias("plain"))
     tagged = F.transform(
-        sentences,
+        F.transform(F.split("plain", "\n"), _between_blanks),
         lambda s: F.struct(
+            s.alias("text"),
             _named(s, rules.treatments).alias("treatments"),
             _named(s, rules.outcomes).alias("outcomes"),
-            _direction(s, rules).alias("direction"),
         ),
     )
-    base = abstracts.select("pubmed_id", text.alias("text"), tagged.alias("tagged"))
-    pairs = F.array_distinct(F.flatten(F.transform("tagged", _sentence_pairs)))
+    text = _between_blanks(F.regexp_replace("plain", "[ \n]+", " "))
+    base = plain.select("pubmed_id", text.alias("text"), tagged.alias("tagged"))
+    # cue words are looked for in sentences with a pair only
+    paired = F.filter(
+        "tagged", lambda s: (F.size(s["treatments"]) > 0) & (F.size(s["outcomes"]) > 0)
+    )
+    directed = F.transform(
+        paired,
+        lambda s: F.struct(
+            s["treatments"].alias("treatments"),
+            s["outcomes"].alias("outcomes"),
+            _direction(s["text"], rules).alias("direction"),
+        ),
+    )
+    pairs = F.array_distinct(F.flatten(F.transform(directed, _sentence_pairs)))
     found = base.select(
         "pubmed_id",
         "text",
@@ -287,9 +324,7 @@ def tag_abstracts(abstracts: DataFrame, rules: TagRules | None = None) -> DataFr
         _any_of(F.col("text"), rules.male), F.lit("male")
     )
     # nine digits always fit an int
-    sample = F.regexp_extract(
-        "text", rf"(?<![\p{{L}}\p{{N}}])(\d{{1,9}}) (?:{'|'.join(rules.subjects)})(?![\p{{L}}\p{{N}}])", 1
-    )
+    sample = F.regexp_extract("text", rf" (\d{{1,9}}) (?:{'|'.join(rules.subjects)}) ", 1)
     population = F.struct(
         sex.alias("sex"),
         F.lit(None).cast("string").alias("age_group"),

@@ -29,22 +29,21 @@ def _pairs(extractions: DataFrame) -> DataFrame:
     return pairs.select(
         F.lower("pair.treatment").alias("source"),
         F.lower("pair.outcome").alias("target"),
-        F.struct(
-            F.coalesce("pair.effect_direction", F.lit("unknown")).alias("effect_direction"),
-            "population",
-            "pubmed_id",
-        ).alias("attributes"),
+        F.coalesce("pair.effect_direction", F.lit("unknown")).alias("effect_direction"),
+        "population",
         F.struct("extracted_ts", "pubmed_id", "pos").alias("written"),
     ).where((F.col("source") != "") & (F.col("target") != ""))
 
 
 def graph_links(extractions: DataFrame) -> DataFrame:
     """G1: one link per (treatment, outcome); the last pair written gives its attributes."""
+    # the place in the order of writing comes first, so the largest is the last written
+    last = F.max(F.struct("written.*", "effect_direction", "population"))
     return (
         _pairs(extractions)
         .groupBy("source", "target")
-        .agg(F.max_by("attributes", "written").alias("last"))
-        .select("source", "target", "last.*")
+        .agg(last.alias("last"))
+        .select("source", "target", "last.effect_direction", "last.population", "last.pubmed_id")
     )
 
 

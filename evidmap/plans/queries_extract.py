@@ -37,7 +37,7 @@ _ANSWERS = {
 
 
 def _answers(spark, folder):
-    orders = testdata.table(spark, folder, "orders")
+    orders = testdata.table(spark, folder, "orders", heavy=True)
     kinds = F.array(*[F.lit(a) for a in _ANSWERS.values()])
     answer = F.element_at(kinds, (F.col("o_orderkey") % len(_ANSWERS) + 1).cast("int"))
     answer = F.replace(answer, F.lit("{s}"), F.col("o_orderstatus"))

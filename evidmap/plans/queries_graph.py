@@ -12,12 +12,12 @@ from evidmap.sources import testdata
 
 @query("g1_graph_links", with_tables("links", "SELECT * FROM links"))
 def g1(spark, folder):
-    return graph.graph_links(testdata.line_extractions(spark, folder))
+    return graph.graph_links(testdata.line_extractions(spark, folder, heavy=True))
 
 
 @query("g2_graph_nodes", with_tables("nodes", "SELECT * FROM nodes"))
 def g2(spark, folder):
-    return graph.graph_nodes(testdata.line_extractions(spark, folder))
+    return graph.graph_nodes(testdata.line_extractions(spark, folder, heavy=True))
 
 
 @query(
@@ -29,7 +29,7 @@ UNION ALL SELECT 'links', count(*) FROM links""",
     ),
 )
 def g3(spark, folder):
-    return graph.graph_counts(*graph.knowledge_graph(testdata.line_extractions(spark, folder)))
+    return graph.graph_counts(*graph.knowledge_graph(testdata.line_extractions(spark, folder, heavy=True)))
 
 
 @query(
@@ -83,7 +83,7 @@ SELECT id, CAST(min(distance) AS INTEGER) AS distance FROM walk GROUP BY id"""
 
 @query("v7_k_hop", with_tables("nodes links", "", recursive=True).rstrip() + _HOPS)
 def v7(spark, folder):
-    nodes, links = graph.knowledge_graph(testdata.line_extractions(spark, folder))
+    nodes, links = graph.knowledge_graph(testdata.line_extractions(spark, folder, heavy=True))
     seeds = nodes.where(F.col("id").isin("brand#1", "blue bolt"))
     return graph.k_hop(links, seeds, k=2)
 
@@ -130,5 +130,5 @@ def v8_nodes(spark, folder):
     ),
 )
 def v8_links(spark, folder):
-    nodes, links = graph.knowledge_graph(testdata.line_extractions(spark, folder))
+    nodes, links = graph.knowledge_graph(testdata.line_extractions(spark, folder, heavy=True))
     return graph.nodes_of_links_with(nodes, links, "population", ["stage IV"])

@@ -48,3 +48,18 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+# A table of fewer splits than this is small: at most 8 GB at the default split size.
+FEW_SPLITS = 64
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small table that comes in few splits over all cores of the session.
+
+    A file of one row group is one task however many cores there are. Tables of
+    many splits, where the shuffle would cost and gain nothing, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < min(cores, FEW_SPLITS) else df

@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidmap.functions.files import file_name_of
-from evidmap.runtime import new_folder
+from evidmap.runtime import new_folder, spread
 
 BLANKS = "  "
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
+    """A table of the driver; ``heavy`` says that the work on a row outweighs moving it."""
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows) if heavy else rows
 
 
 def cases(*branches: tuple[Column, Column], otherwise: Column | None = None) -> Column:
@@ -62,7 +64,7 @@ def authors(spark: SparkSession, folder: str) -> DataFrame:
 
 def grants(spark: SparkSession, folder: str) -> DataFrame:
     """One grant per order line: the agency is a brand, the country the supplier's."""
-    lines = table(spark, folder, "lineitem")
+    lines = table(spark, folder, "lineitem", heavy=True)
     parts = table(spark, folder, "part")
     suppliers = table(spark, folder, "supplier")
     nations = table(spark, folder, "nation")
@@ -176,10 +178,10 @@ def _line_id() -> Column:
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-def line_extractions(spark: SparkSession, folder: str) -> DataFrame:
+def line_extractions(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     """One extraction per order line. Everything but the time follows from the id,
     so lines that share an id and a time are alike."""
-    lines, parts = table(spark, folder, "lineitem"), table(spark, folder, "part")
+    lines, parts = table(spark, folder, "lineitem", heavy), table(spark, folder, "part")
     key = F.col("l_orderkey") + F.col("l_linenumber")
     kind, brand, name = F.col("p_type"), F.col("p_brand"), F.col("p_name")
     pairs = F.array(
@@ -209,7 +211,7 @@ def line_extractions(spark: SparkSession, folder: str) -> DataFrame:
 
 def line_articles(spark: SparkSession, folder: str) -> DataFrame:
     """One article per order line with five index terms, some equal but for case."""
-    lines, parts = table(spark, folder, "lineitem"), table(spark, folder, "part")
+    lines, parts = table(spark, folder, "lineitem", heavy=True), table(spark, folder, "part")
     key = F.col("l_orderkey") + F.col("l_linenumber")
     words = F.split("p_name", " ")
     terms = F.array(
@@ -248,7 +250,7 @@ def doc_articles(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("doc_id")
     title = F.when(key % 10 == 0, F.lit("On Adenomyosis")).otherwise(F.col("source"))
     topic = F.when(key % 6 == 0, F.lit("ENDOMETRIOSIS")).when(key % 7 != 0, F.lit("Pain"))
-    return table(spark, folder, "documents").select(
+    return table(spark, folder, "documents", heavy=True).select(
         key.cast("string").alias("pubmed_id"),
         title.alias("title"),
         F.when(key % 23 != 0, F.col("text")).alias("abstract"),
@@ -361,7 +363,7 @@ def document_xml(spark: SparkSession, folder: str) -> DataFrame:
     # an element that is never closed
     broken = F.when(key % 31 == 5, F.replace(record, F.lit("</Abstract>"), none)).otherwise(record)
     return (
-        table(spark, folder, "documents")
+        table(spark, folder, "documents", heavy=True)
         .withColumn("clean", clean_text())
         .select("doc_id", document_file().alias("source_file"), broken.alias("xml"))
     )
