@@ -70,10 +70,13 @@ def new_articles(
 ) -> DataFrame:
     """The rows to insert. Stored articles stay, the first of several copies wins.
 
-    Copies go first: the join then finds one row per id, already shuffled by id.
+    The stored ids are first cut down to those that arrive again: that semi-join
+    can broadcast the ids of a small batch, or filter by them, and then does not
+    shuffle the whole store. ``articles`` is read twice, so it should be a table.
     """
-    first = first_per_id(articles, order)
-    return first.join(stored_ids.select("pubmed_id"), "pubmed_id", "left_anti")
+    arriving = articles.select("pubmed_id")
+    known = stored_ids.select("pubmed_id").join(arriving, "pubmed_id", "left_semi")
+    return first_per_id(articles, order).join(known, "pubmed_id", "left_anti")
 
 
 def author_rows(articles: DataFrame) -> DataFrame:

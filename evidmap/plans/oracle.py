@@ -64,7 +64,7 @@ TABLES = {
       ELSE CAST(o_orderkey % 101 AS DOUBLE) / 100.0 END AS extraction_confidence,
     CASE o_orderkey % 10 WHEN 0 THEN 'RateLimitError' WHEN 5 THEN '' END AS extraction_error,
     CAST(o_orderdate AS TIMESTAMP) AS extracted_ts
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 3 <> 0""",
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P'""",
     "line_extractions": f"""
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS pubmed_id,
     CASE WHEN (l_orderkey + l_linenumber) % 7 <> 0 THEN [

@@ -167,7 +167,7 @@ incoming AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS pubmed_id, 'other' AS study_design,
     0.5 AS extraction_confidence, NULL AS extraction_error,
     CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 DAY AS extracted_ts
-  FROM orders WHERE o_orderstatus = 'F')"""
+  FROM orders WHERE o_orderstatus <> 'O')"""
 
 
 @query(
@@ -192,7 +192,7 @@ def s8(spark, folder):
     population_type = stored.schema["population"].dataType
     incoming = (
         testdata.table(spark, folder, "orders")
-        .where("o_orderstatus = 'F'")
+        .where("o_orderstatus <> 'O'")
         .select(
             F.col("o_orderkey").cast("string").alias("pubmed_id"),
             F.array(F.lit("new")).alias("treatments"),
