@@ -91,14 +91,6 @@ def e1(spark, folder):
 MIN_WORDS = 30
 
 
-def first_and_last_word(abstract: str) -> dict:
-    """A stand-in for the caller's extractor: needs ``MIN_WORDS`` words."""
-    words = abstract.split(" ")
-    if len(words) < MIN_WORDS:
-        raise ValueError(f"only {len(words)} words")
-    return {"treatments": [words[0]], "outcomes": [words[-1]], "study_design": "other"}
-
-
 @query(
     "e2_apply_extractor",
     with_tables(
@@ -113,6 +105,14 @@ FROM words""",
     ),
 )
 def e2(spark, folder):
+    def first_and_last_word(abstract: str) -> dict:
+        """A stand-in for the caller's extractor: needs ``MIN_WORDS`` words."""
+        words = abstract.split(" ")
+        if len(words) < MIN_WORDS:
+            raise ValueError(f"only {len(words)} words")
+        return {"treatments": [words[0]], "outcomes": [words[-1]], "study_design": "other"}
+
+    # defined here, the function travels to the executors by value
     abstracts = testdata.doc_articles(spark, folder).where(F.col("abstract").isNotNull())
     found = _flat(extract.apply_extractor(abstracts, first_and_last_word))
     return found.select("pubmed_id", "treatments", "outcomes", "study_design", "extraction_error")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
@@ -50,6 +51,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``rows`` rows, which are counted;
+    otherwise the join is left to Spark."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 # A table of fewer splits than this is small: at most 8 GB at the default split size.
 FEW_SPLITS = 64
 
