@@ -166,6 +166,16 @@ def partition_sync(
     )
 
 
+def sync_report(actions: DataFrame) -> DataFrame:
+    """Numbers of removed, added and now registered files."""
+    action = F.col("action")
+    return actions.agg(
+        F.count_if(action == "remove").alias("removed"),
+        F.count_if(action == "add").alias("added"),
+        F.count_if(action != "remove").alias("total"),
+    )
+
+
 def within_budget(files: DataFrame, target: int = 200, block: int = 1000) -> DataFrame:
     """Files in descending ``file_number`` up to the one whose ``inserted`` brings
     the running total to ``target``; adds that total as ``running``.

@@ -269,22 +269,34 @@ def s10_retries(spark, folder):
 # ---- file bookkeeping -------------------------------------------------------------
 
 
-@query(
-    "s11_partition_sync",
-    """WITH wanted AS (SELECT CAST(unnest(range(1200, 1210)) AS INTEGER) AS file_number),
+_SYNC = """WITH wanted AS (SELECT CAST(unnest(range(1200, 1210)) AS INTEGER) AS file_number),
 known AS (SELECT DISTINCT CAST(1150 + s_suppkey AS INTEGER) AS file_number FROM supplier
   WHERE s_nationkey < 20)
+, actions AS (
 SELECT coalesce(w.file_number, k.file_number) AS file_number,
   CASE WHEN k.file_number IS NULL THEN 'add' WHEN w.file_number IS NULL THEN 'remove'
     ELSE 'keep' END AS action
-FROM wanted w FULL JOIN known k ON w.file_number = k.file_number""",
-)
+FROM wanted w FULL JOIN known k ON w.file_number = k.file_number)"""
+
+
+@query("s11_partition_sync", _SYNC + " SELECT * FROM actions")
 def s11(spark, folder):
     suppliers = testdata.table(spark, folder, "supplier").where("s_nationkey < 20")
     registered = suppliers.select((1150 + F.col("s_suppkey")).cast("int").alias("file_number"))
     return ingest.partition_sync(spark, registered, 1200, 1209)
 
 
+@query(
+    "s11_sync_report",
+    _SYNC
+    + """ SELECT count(*) FILTER (WHERE action = 'remove') AS removed,
+  count(*) FILTER (WHERE action = 'add') AS added,
+  count(*) FILTER (WHERE action <> 'remove') AS total FROM actions""",
+)
+def s11_report(spark, folder):
+    return ingest.sync_report(s11(spark, folder))
+
+
 S13_TARGET = 10_000
 
 
