@@ -162,7 +162,8 @@ found AS (
   UNION SELECT pubmed_id, 'sex', CASE WHEN {_any('t', WORD_RULES.female)} THEN 'female'
     WHEN {_any('t', WORD_RULES.male)} THEN 'male' ELSE '' END, '', '' FROM texts
   UNION SELECT pubmed_id, 'sample_size',
-    regexp_extract(t, ' (\\d{{1,9}})  (?:{_SUBJECTS}) ', 1), '', '' FROM texts)
+    coalesce(CAST(CAST(nullif(regexp_extract(t, ' (\\d{{1,9}})  (?:{_SUBJECTS}) ', 1), '')
+      AS INTEGER) AS VARCHAR), ''), '', '' FROM texts)
 SELECT * FROM found"""
 
 
