@@ -282,7 +282,7 @@ def tag_abstracts(abstracts: DataFrame, rules: TagRules | None = None) -> DataFr
     if len(rules.treatments) + len(rules.outcomes) > MAX_TERMS:
         raise ValueError(f"at most {MAX_TERMS} terms")
     for word in rules.all_words():
-        if re.sub(r"[^\w]|_", " ", word.lower()) != word:
+        if " ".join(re.findall(r"[^\W_]+", word.lower())) != word:
             raise ValueError(f"not in lower-case words between single blanks: {word!r}")
 
     plain = abstracts.select("pubmed_id", plain_sentences(F.col("abstract")).alias("plain"))

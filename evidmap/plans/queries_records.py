@@ -104,7 +104,7 @@ def s3(spark, folder):
         .write.partitionBy("source_file")
         .text(f"{root}/sums")
     )
-    return landing.checksum_audit(digests, landing.read_checksums(spark, f"{root}/sums"))
+    return landing.checksum_audit(digests, landing.read_checksums(spark, f"{root}/sums", "*"))
 
 
 # ---- record columns, on the record text -----------------------------------------

@@ -124,6 +124,21 @@ def test_funding_counts_grants_and_takes_the_first_country(spark):
     ]
 
 
+def test_one_article_with_a_third_of_all_rows(spark):
+    """It brings one row per country or agency to the join, whatever its size."""
+    hot = spark.range(20_000).select(F.lit("0").alias("pubmed_id"), (F.col("id") % 3).alias("n"), "id")
+    rest = spark.range(40_000).select((F.col("id") % 500 + 1).cast("string").alias("pubmed_id"), (F.col("id") % 5).alias("n"), "id")
+    rows = hot.unionByName(rest).select("pubmed_id", F.concat(F.lit("C"), "n").alias("country"),
+                                        F.lit("NIH").alias("agency"), F.col("id").alias("grant_no"))
+    table = spark.range(501).select(F.col("id").cast("string").alias("pubmed_id"), F.lit(date(2020, 1, 1)).alias("pub_date"))
+    found = {r.country: r.article_count for r in evidence.research_geography(rows, table).collect()}
+    assert found == {"C0": 101, "C1": 101, "C2": 101, "C3": 100, "C4": 100}
+    (nih,) = evidence.funding_landscape(rows, table).collect()
+    assert (nih.article_count, nih.distinct_article_count, nih.country) == (60_000, 501, "C0")
+    plan = evidence.research_geography(rows, table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate(keys=[pubmed_id") == 2
+
+
 def populations(spark, entries):
     return spark.createDataFrame(
         [(str(i), p, e) for i, (p, e) in enumerate(entries)],

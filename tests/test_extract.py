@@ -153,6 +153,12 @@ def test_too_many_terms_are_refused(spark):
         tag(spark, "x", extract.TagRules(treatments={f"t{i}": "t" for i in range(3000)}))
 
 
+@pytest.mark.parametrize("term", ["Dienogest", "gnrh-agonist", "pelvic  pain", "a_b"])
+def test_terms_that_could_never_match_are_refused(spark, term):
+    with pytest.raises(ValueError, match="words"):
+        tag(spark, "x", extract.TagRules(treatments={term: "t"}))
+
+
 def test_summary(spark, rows):
     frame = spark.createDataFrame([(None,), ("",), ("failed",)], "extraction_error string")
     assert rows(extract.extraction_summary(frame)) == [(3, 2, 1, 0.333)]
