@@ -12,7 +12,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 MODULES = (
+    "fingerprints",
     "decontaminate",
+    "simhash",
+    "lines",
 )
 
 
