@@ -16,6 +16,8 @@ MODULES = (
     "decontaminate",
     "simhash",
     "lines",
+    "shards",
+    "packing",
 )
 
 

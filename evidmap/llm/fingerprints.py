@@ -101,11 +101,11 @@ def in_order(docs: DataFrame, doc_id: str) -> tuple[DataFrame, WindowSpec]:
     descending id; the first one follows the last.
 
     Texts are shuffled once, by ranges of ids whose bounds are quantiles of all ids
-    (one for each shuffle partition). Each range also holds the first row of the next
+    (four for each shuffle partition). Each range also holds the first row of the next
     one, marked as ``_ghost``, to be taken out after the window.
     """
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / n for i in range(1, n)]
     splits = []
     if shares:
@@ -113,7 +113,7 @@ def in_order(docs: DataFrame, doc_id: str) -> tuple[DataFrame, WindowSpec]:
         splits = sorted(set(found or []))
     docs = docs.withColumn("_range", _range_bucket(F.col(doc_id), splits))
     heads = docs.groupBy("_range").agg(F.max(doc_id).alias("_head"))
-    # one row per range: no more rows than shuffle partitions
+    # one row per range: no more rows than ranges
     by_range = Window.orderBy("_range")
     heads = heads.select(
         "_head",

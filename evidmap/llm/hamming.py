@@ -69,7 +69,7 @@ def _rows(key, fp, used) -> pa.Table:
     return pa.table(dict(zip(("key", "fp", "used"), columns)))
 
 
-def _unsigned(table, name: str) -> np.ndarray:
+def unsigned(table, name: str) -> np.ndarray:
     return table.column(name).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
@@ -78,7 +78,7 @@ def filed(fps: DataFrame, parts: list[Part]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = _unsigned(batch, "fp")
+            fp = unsigned(batch, "fp")
             for number, part in enumerate(parts):
                 used = np.uint64(mask_of(part.bits))
                 for flip in flips(part):
@@ -93,7 +93,7 @@ def _refiled(rows: DataFrame, max_bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, fp, used = (_unsigned(batch, c) for c in ("key", "fp", "used"))
+            key, fp, used = (unsigned(batch, c) for c in ("key", "fp", "used"))
             for mask in np.unique(used):
                 at = used == mask
                 free = [b for b in range(64) if not int(mask) >> b & 1]
@@ -152,7 +152,7 @@ def least_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 def _links_of(max_bits: int) -> Callable[[pa.Table], pa.Table]:
     def links(rows: pa.Table) -> pa.Table:
-        key, fp = _unsigned(rows, "key"), _unsigned(rows, "fp")
+        key, fp = unsigned(rows, "key"), unsigned(rows, "fp")
         pairs = list(close_pairs(key, fp, max_bits))
         none = np.zeros(0, np.int64)
         i = np.concatenate([none, *(p[0] for p in pairs)])

@@ -28,6 +28,7 @@ from evidmap.llm import hamming
 from evidmap.llm.buckets import group_starts, map_groups
 from evidmap.llm.catalog import query
 from evidmap.llm.components import components
+from evidmap.llm.hamming import close_pairs, unsigned
 from evidmap.llm.tables import row_key, rows_fit, table, written
 
 MIN_WORDS = 5
@@ -163,7 +164,7 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
 
 def _verified(max_bits: int, least: float):
     def links(rows: pa.Table) -> pa.Table:
-        keys, fps = hamming._unsigned(rows, "key"), hamming._unsigned(rows, "fp")
+        keys, fps = unsigned(rows, "key"), unsigned(rows, "fp")
         lines = rows.column("line").to_pylist()
         texts: dict[int, str] = {}
 
@@ -181,7 +182,7 @@ def _verified(max_bits: int, least: float):
             return i
 
         a, b = [], []
-        for left, right in hamming.close_pairs(keys, fps, max_bits):
+        for left, right in close_pairs(keys, fps, max_bits):
             for i, j in zip(left.tolist(), right.tolist()):
                 x, y = find(i), find(j)
                 # what is connected already needs no proof

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from evidmap.llm import hamming
 from evidmap.llm.catalog import query
 from evidmap.llm.components import components
-from evidmap.llm.hamming import Part
+from evidmap.llm.hamming import Part, flips, mask_of, unsigned
 from evidmap.llm.tables import table, written
 
 SHINGLE = 3
@@ -106,7 +106,7 @@ def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, n = np.zeros((64, 64), np.int64), 0
         for batch in batches:
-            block = hamming._unsigned(batch, "fp").view(np.uint8).reshape(-1, 8)
+            block = unsigned(batch, "fp").view(np.uint8).reshape(-1, 8)
             bits = np.unpackbits(block, axis=1, bitorder="little").astype(np.float32)
             both += (bits.T @ bits).astype(np.int64)
             n += len(bits)
@@ -177,9 +177,9 @@ def plan_parts(fps: DataFrame, max_bits: int = MAX_BITS) -> list[Part]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = hamming._unsigned(batch, "fp")
+            fp = unsigned(batch, "fp")
             for number, part in enumerate(exact):
-                value = (fp & np.uint64(hamming.mask_of(part.bits))).view(np.int64)
+                value = (fp & np.uint64(mask_of(part.bits))).view(np.int64)
                 yield from pa.table(
                     {"part": np.full(len(fp), number, np.int32), "value": value}
                 ).to_batches()
@@ -199,7 +199,7 @@ def plan_parts(fps: DataFrame, max_bits: int = MAX_BITS) -> list[Part]:
             chance = within(share[list(bits)], max_bits)
             collide = pairs[names.index((m, i))]
             for t in range(max_bits + 1):
-                filed = n * len(hamming.flips(Part(bits, t)))
+                filed = n * len(flips(Part(bits, t)))
                 # a value meets the neighbours' values from both sides
                 grown = max(chance[t] / max(chance[0], 1e-30), 1.0)
                 costs[i, t + 1] = max(collide, n * n / 2 * chance[0]) * grown * 2 + ROW_COST * filed
