@@ -18,6 +18,7 @@ MODULES = (
     "lines",
     "shards",
     "packing",
+    "language",
 )
 
 
