@@ -29,8 +29,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = F.col("a"), F.col("b")
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    edges = written(edges.distinct(), "links")
     nodes = edges.where("u = v").select("u")
-    edges = written(edges.where("u > v").distinct(), "links")
+    edges = edges.where("u > v")
     before = None
     while True:
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()

@@ -119,9 +119,12 @@ def _with_hash(met: DataFrame, window: int) -> DataFrame:
     return met.withColumn("hash", _hash_of(F.shiftleft(F.col("_gram")[0], POSITION_BITS))).drop("_first", "_gram")
 
 
-def window_hits(docs: DataFrame, items: DataFrame, window: int, whole: bool) -> tuple[DataFrame, DataFrame]:
+def window_hits(
+    docs: DataFrame, items: DataFrame, window: int, whole: bool
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (doc, context, start, end): words ``start`` to ``end`` - 1 of a document that
-    share at least one window with the items of ``context``; and rows (context, item).
+    share at least one window with the items of ``context``; rows (context, item); and
+    rows (doc, n_words) of all documents.
 
     ``docs`` has doc and text; ``items`` has item and words, of which only those
     of exactly ``window`` words are taken when ``whole``, else those of at least as many.
@@ -141,16 +144,26 @@ def window_hits(docs: DataFrame, items: DataFrame, window: int, whole: bool) ->
     # explode_outer: for explode the optimizer adds a filter that computes the array once more
     words = docs.select("doc", word_hashes(F.col("text")).alias("words"))
     kept = fingerprints(words, "words", window)
-    kept = kept.select("doc", F.explode_outer("kept").alias("kept"))
+    # the leading null keeps a row of every document, with its number of words
+    kept = kept.select(
+        "doc",
+        n.cast("bigint").alias("n_words"),
+        F.explode_outer(F.concat(F.array(F.lit(None).cast("bigint")), "kept")).alias("kept"),
+    )
     places = (
         kept.select(
-            "doc", _hash_of(F.col("kept")).alias("hash"), _place_of(F.col("kept")).alias("place")
+            "doc",
+            "n_words",
+            _hash_of(F.col("kept")).alias("hash"),
+            _place_of(F.col("kept")).alias("place"),
         )
-        .join(found, "hash", "left_semi")
+        .join(found.withColumn("met", F.lit(True)), "hash", "left")
+        .where("met OR place IS NULL")
         .groupBy("doc")
-        .agg(F.collect_set("place").alias("places"))
+        .agg(F.max("n_words").alias("n_words"), F.collect_set("place").alias("places"))
     )
-    places = written(places, "places")
+    every = written(places, "places")
+    places = every.where(F.size("places") > 0).select("doc", "places")
     # texts are needed again only where a fingerprint was met
     met = docs
     if rows_fit(places, MAX_BROADCAST_ROWS):
@@ -175,7 +188,7 @@ def window_hits(docs: DataFrame, items: DataFrame, window: int, whole: bool) ->
         (F.col("place") - F.col("left")).alias("start"),
         (F.col("place") + F.col("right")).alias("end"),
     )
-    return hits, tests.select("context", "item").distinct()
+    return hits, tests.select("context", "item").distinct(), every.select("doc", "n_words")
 
 
 def merged_spans(runs: DataFrame) -> DataFrame:
@@ -219,8 +232,8 @@ def contamination(
     sizes = [(row.n, True) for row in short.collect()] + [(window, False)]  # at most 13
     searched = docs.select("doc", "text")
     found = [window_hits(searched, texts, n, whole) for n, whole in sizes]
-    hits = written(reduce(DataFrame.unionByName, [h for h, _ in found]), "hits")
-    members = reduce(DataFrame.unionByName, [m for _, m in found])
+    hits = written(reduce(DataFrame.unionByName, [h for h, _, _ in found]), "hits")
+    members = reduce(DataFrame.unionByName, [m for _, m, _ in found])
     spans = merged_spans(hits.select("doc", "start", "end").distinct())
     names = (
         hits.select("doc", "context").distinct().join(members, "context")
@@ -228,8 +241,7 @@ def contamination(
         .join(ids.select("item", "item_id").distinct(), "item")
         .groupBy("doc").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     )
-    n_words = F.coalesce(F.size(word_hashes(F.col("text"))), F.lit(0)).cast("bigint")
-    counted = docs.select("id", "doc", n_words.alias("n_words"))
+    counted = docs.select("id", "doc").join(found[-1][2], "doc")
     none = F.lit(0).cast("bigint")
     return (
         counted.join(spans.join(names, "doc"), "doc", "left")

@@ -1,6 +1,6 @@
 """Line dedup that forgives small edits.
 
-Lines are normalised (small letters, digits to 0, runs of other signs to one space) and
+Lines are normalised (ASCII: small letters, digits to 0, other signs to a space) and
 their words give a SimHash. Lines whose fingerprints differ in at most three bits meet in
 pigeonhole blocks; of those, lines with an edit similarity of 0.8 or more are linked, and
 of each connected group of lines only the first occurrence stays: least document id,
@@ -28,7 +28,7 @@ from evidmap.llm import hamming
 from evidmap.llm.buckets import group_starts, map_groups
 from evidmap.llm.catalog import query
 from evidmap.llm.components import components
-from evidmap.llm.hamming import close_pairs, unsigned
+from evidmap.llm.hamming import Part, close_pairs, mask_of, unsigned
 from evidmap.llm.tables import row_key, rows_fit, table, written
 
 MIN_WORDS = 5
@@ -36,40 +36,52 @@ MAX_BITS = 3
 SIMILARITY = 0.8
 # Keys of documents (8 bytes) are broadcast up to this many; beyond, texts are shuffled.
 MAX_BROADCAST_ROWS = 1_000_000
-WORD = re.compile(r"\w+")
-DIGIT = re.compile(r"\d")
+# Normal form of a byte: small letters, 0 for digits, a space for other ASCII; the bytes of
+# other signs stay as they are.
+FORM = bytes(
+    ord("0") if chr(b).isdigit() else b + 32 if 65 <= b <= 90 else b if b >= 97 and b <= 122 else 32
+    for b in range(128)
+) + bytes(range(128, 256))
+LANES = 255  # ones that a byte can count
 
 
-def words_of(line: str) -> list[str]:
-    """Words of the normalised line."""
-    words = WORD.findall(line.lower())
-    return [DIGIT.sub("0", w) for w in words] if DIGIT.search(line) else words
+def words_of(line: bytes) -> list[bytes]:
+    """Words of the normalised line, from its UTF-8."""
+    return line.translate(FORM).split()
 
 
 class WordBits:
     """The bits of each word's hash, one row per word, in the order they were met."""
 
     def __init__(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[bytes, int] = {}
         self.hashes: list[int] = []
-        self.bits = np.zeros((0, 64), np.uint8)
-
-    def places(self, words: list[str]) -> list[int]:
-        found = self.place
-        for word in words:
-            if word not in found:
-                found[word] = len(self.hashes)
-                self.hashes.append(xxhash.xxh64_intdigest(word.encode(), 0))
-        return [found[word] for word in words]
+        self.bits = np.zeros((0, 8), np.uint64)
+
+    def places(self, words: list[bytes]) -> list[int]:
+        try:
+            return list(map(self.place.__getitem__, words))
+        except KeyError:
+            for word in words:
+                if word not in self.place:
+                    self.place[word] = len(self.hashes)
+                    self.hashes.append(xxhash.xxh64_intdigest(word, 0))
+            return list(map(self.place.__getitem__, words))
 
     def simhashes(self, places: list[int], starts: list[int]) -> np.ndarray:
         """Fingerprint of each run of ``places``; a bit is 1 if most words have it."""
         new = np.array(self.hashes[len(self.bits) :], np.uint64).view(np.uint8).reshape(-1, 8)
-        self.bits = np.vstack([self.bits, np.unpackbits(new, axis=1, bitorder="little")])
+        new = np.unpackbits(new, axis=1, bitorder="little").view(np.uint64)
+        self.bits = np.vstack([self.bits, new])
         if not starts:
             return np.zeros(0, np.uint64)
-        ones = np.add.reduceat(self.bits[places], starts, axis=0, dtype=np.int32)
-        sizes = np.diff(np.append(starts, len(places)))
+        starts, sizes = np.array(starts), np.diff(np.append(starts, len(places)))
+        # each byte counts the ones of one bit: runs are summed in pieces that it can hold
+        pieces = -(-sizes // LANES)
+        first = np.cumsum(pieces) - pieces
+        inside = np.arange(pieces.sum()) - np.repeat(first, pieces)
+        sums = np.add.reduceat(self.bits[places], np.repeat(starts, pieces) + inside * LANES, axis=0)
+        ones = np.add.reduceat(sums.view(np.uint8), first, axis=0, dtype=np.int64)
         packed = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little")
         return packed.view(np.uint64).ravel()
 
@@ -100,13 +112,13 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 return pa.RecordBatch.from_arrays(columns, ["id", "doc", "at", "line", "fp"])
 
             for row, text in enumerate(batch.column("text")):
-                for at, line in enumerate((text.as_py() or "").split("\n")):
+                for at, line in enumerate((text.as_py() or "").encode().split(b"\n")):
                     words = words_of(line)
                     if len(words) < min_words:
                         continue
                     rows.append(row)
                     ats.append(at)
-                    lines.append(xxhash.xxh3_128_digest(" ".join(words).encode()))
+                    lines.append(xxhash.xxh3_128_digest(b" ".join(words)))
                     starts.append(len(places))
                     places.extend(bits.places(words))
                     if len(places) >= FLUSH_WORDS:
@@ -162,15 +174,20 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _verified(max_bits: int, least: float):
+def _verified(max_bits: int, least: float, parts: list[Part]):
+    masks = [np.uint64(mask_of(p.bits)) for p in parts]
+
     def links(rows: pa.Table) -> pa.Table:
         keys, fps = unsigned(rows, "key"), unsigned(rows, "fp")
+        used = unsigned(rows, "used")
+        own = np.argmax([used & m == m for m in masks], axis=0)
         lines = rows.column("line").to_pylist()
         texts: dict[int, str] = {}
 
         def text(i: int) -> str:
             if i not in texts:
-                texts[i] = " ".join(words_of(rows.column("text")[i].as_py()))
+                line = b" ".join(words_of(rows.column("text")[i].as_py().encode()))
+                texts[i] = line.decode(errors="replace")
             return texts[i]
 
         root = list(range(len(lines)))
@@ -183,6 +200,11 @@ def _verified(max_bits: int, least: float):
 
         a, b = [], []
         for left, right in close_pairs(keys, fps, max_bits):
+            # a pair that agrees in several parts is looked at under the first of them only
+            differ, seen = fps[left] ^ fps[right], np.zeros(len(left), bool)
+            for number, mask in enumerate(masks):
+                seen |= (differ & mask == 0) & (number < own[left])
+            left, right = left[~seen], right[~seen]
             for i, j in zip(left.tolist(), right.tolist()):
                 x, y = find(i), find(j)
                 # what is connected already needs no proof
@@ -229,8 +251,8 @@ def line_links(
     schema = "a binary, b binary"
     links = [
         map_groups(
-            rows.select("key", "fp").distinct().join(found, "fp"),
-            "key", _verified(max_bits, least), schema, "line",
+            rows.distinct().join(found, "fp"),
+            "key", _verified(max_bits, least, parts), schema, "line",
         )
         for rows in hamming.cells(near, parts, max_bits, cell)
     ]
