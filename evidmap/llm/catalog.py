@@ -19,6 +19,8 @@ MODULES = (
     "shards",
     "packing",
     "language",
+    "personal",
+    "quality",
 )
 
 
