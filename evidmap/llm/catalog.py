@@ -21,6 +21,7 @@ MODULES = (
     "language",
     "personal",
     "quality",
+    "substrings",
 )
 
 
