@@ -14,15 +14,14 @@ with the same id and text share their decisions; null ids come last; lines end a
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidmap.llm import hamming
 from evidmap.llm.buckets import group_starts, map_groups
@@ -50,99 +49,133 @@ def words_of(line: bytes) -> list[bytes]:
     return line.translate(FORM).split()
 
 
-class WordBits:
-    """The bits of each word's hash, one row per word, in the order they were met."""
-
-    def __init__(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.hashes: list[int] = []
-        self.bits = np.zeros((0, 8), np.uint64)
-
-    def places(self, words: list[bytes]) -> list[int]:
-        try:
-            return list(map(self.place.__getitem__, words))
-        except KeyError:
-            for word in words:
-                if word not in self.place:
-                    self.place[word] = len(self.hashes)
-                    self.hashes.append(xxhash.xxh64_intdigest(word, 0))
-            return list(map(self.place.__getitem__, words))
-
-    def simhashes(self, places: list[int], starts: list[int]) -> np.ndarray:
-        """Fingerprint of each run of ``places``; a bit is 1 if most words have it."""
-        new = np.array(self.hashes[len(self.bits) :], np.uint64).view(np.uint8).reshape(-1, 8)
-        new = np.unpackbits(new, axis=1, bitorder="little").view(np.uint64)
-        self.bits = np.vstack([self.bits, new])
-        if not starts:
-            return np.zeros(0, np.uint64)
-        starts, sizes = np.array(starts), np.diff(np.append(starts, len(places)))
-        # each byte counts the ones of one bit: runs are summed in pieces that it can hold
-        pieces = -(-sizes // LANES)
-        first = np.cumsum(pieces) - pieces
-        inside = np.arange(pieces.sum()) - np.repeat(first, pieces)
-        sums = np.add.reduceat(self.bits[places], np.repeat(starts, pieces) + inside * LANES, axis=0)
-        ones = np.add.reduceat(sums.view(np.uint8), first, axis=0, dtype=np.int64)
-        packed = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little")
-        return packed.view(np.uint64).ravel()
-
-
-FLUSH_WORDS = 1 << 20
+CHUNK = 1 << 22
+BYTE_STEP, WORD_STEPS = 0x9E3779B97F4A7C15, (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+
+
+def _powers(step: int, n: int) -> np.ndarray:
+    """1, step, step^2, ... modulo 2^64."""
+    found = np.full(n, step, np.uint64)
+    found[:1] = 1
+    return np.cumprod(found, dtype=np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def _hashes_of_runs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
+    """Polynomial hash of each run of ``values``; all arithmetic is modulo 2^64."""
+    powers, back = _powers(step, len(values)), _powers(pow(step, -1, 1 << 64), len(values))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers, dtype=np.uint64)])
+    return _mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+
+
+def simhashes(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Fingerprint of each run of word hashes; a bit is 1 if most words have it."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    # each byte counts the ones of one bit: runs are summed in pieces that it can hold
+    pieces = -(-sizes // LANES)
+    first = np.cumsum(pieces) - pieces
+    inside = np.arange(pieces.sum()) - np.repeat(first, pieces)
+    at = np.repeat(starts, pieces) + inside * LANES
+    last = np.minimum(at + LANES, np.repeat(starts + sizes, pieces))
+    # every second run of the sum below is one of these pieces, the others fill the gaps
+    edges = np.column_stack([at, last]).ravel()
+    edges = edges[: len(edges) - (last[-1] == len(hashes))]
+    sums = np.add.reduceat(bits.view(np.uint64), edges, axis=0)[::2]
+    ones = np.add.reduceat(sums.view(np.uint8), first, axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def line_prints(
+    texts: list[bytes], min_words: int = MIN_WORDS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines of enough words: number of the text, place of the line in it, hash of the
+    normalised line (two columns of 64 bits), fingerprint."""
+    data = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
+    form = np.frombuffer(FORM, np.uint8)[data]
+    inside = form != 32
+    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    none = np.zeros(0, np.int64)
+    if not len(starts):
+        return none, none, np.zeros((0, 2), np.uint64), none.view(np.uint64)
+    words = _hashes_of_runs(form.astype(np.uint64), starts, ends, BYTE_STEP)
+    breaks = np.cumsum(data == 10, dtype=np.int32)
+    line = breaks[starts]
+    head = group_starts(line)
+    sizes = np.diff(np.append(head, len(line)))
+    long = sizes >= min_words
+    head, sizes = head[long], sizes[long]
+    if not len(head):
+        return none, none, np.zeros((0, 2), np.uint64), none.view(np.uint64)
+    names = np.column_stack([_hashes_of_runs(words, head, head + sizes, s) for s in WORD_STEPS])
+    lines_before = np.cumsum([0, *(t.count(b"\n") + 1 for t in texts)])
+    number = line[head].astype(np.int64)
+    owner = np.searchsorted(lines_before, number, side="right") - 1
+    return owner, number - lines_before[owner], names, simhashes(words, head, sizes)
+
+
+def chunks(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts (null: empty) some at a time, with the number of the first."""
+    first, held, size = 0, [], 0
+    for number, text in enumerate(texts):
+        held.append((text.as_py() or "").encode())
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield first, held
+            first, held, size = number + 1, [], 0
+    if held:
+        yield first, held
 
 
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, doc, at, line, fp) of every line of enough words; ``line``: 128-bit hash."""
-    kind = docs.schema["id"].dataType.simpleString()
+    schema = T.StructType(
+        [docs.schema["id"], *T.StructType.fromDDL("doc bigint, at int, line binary, fp bigint")]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = WordBits()
         for batch in batches:
-            rows, ats, lines, places, starts = [], [], [], [], []
-
-            def flush():
-                fps = bits.simhashes(places, starts).view(np.int64)
+            for first, texts in chunks(batch.column("text")):
+                owner, at, names, fps = line_prints(texts, min_words)
+                rows = pa.array(owner + first)
+                ends = pa.py_buffer((np.arange(len(names) + 1) * 16).astype(np.int32))
+                lines = pa.Array.from_buffers(
+                    pa.binary(), len(names), [None, ends, pa.py_buffer(np.ascontiguousarray(names))]
+                )
                 columns = [
-                    batch.column("id").take(pa.array(rows, pa.int32())),
-                    batch.column("doc").take(pa.array(rows, pa.int32())),
-                    pa.array(ats, pa.int32()),
-                    pa.array(lines, pa.binary()),
-                    pa.array(fps),
+                    batch.column("id").take(rows),
+                    batch.column("doc").take(rows),
+                    pa.array(at.astype(np.int32)),
+                    lines,
+                    pa.array(fps.view(np.int64)),
                 ]
-                for x in (rows, ats, lines, places, starts):
-                    x.clear()
-                return pa.RecordBatch.from_arrays(columns, ["id", "doc", "at", "line", "fp"])
-
-            for row, text in enumerate(batch.column("text")):
-                for at, line in enumerate((text.as_py() or "").encode().split(b"\n")):
-                    words = words_of(line)
-                    if len(words) < min_words:
-                        continue
-                    rows.append(row)
-                    ats.append(at)
-                    lines.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                    starts.append(len(places))
-                    places.extend(bits.places(words))
-                    if len(places) >= FLUSH_WORDS:
-                        yield flush()
-            yield flush()
-
-    return docs.select("id", "doc", "text").mapInArrow(
-        run, f"id {kind}, doc bigint, at int, line binary, fp bigint"
-    )
+                yield pa.RecordBatch.from_arrays(columns, ["id", "doc", "at", "line", "fp"])
+
+    return docs.select("id", "doc", "text").mapInArrow(run, schema)
+
+
+def _shared_start(a: str, b: str) -> int:
+    """Length of the common prefix, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance, or a number above ``most``; all rows of a column at once."""
-    start = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        start += 1
+    start = _shared_start(a, b)
     a, b = a[start:], b[start:]
-    end = 0
-    for x, y in zip(reversed(a), reversed(b)):
-        if x != y:
-            break
-        end += 1
+    end = _shared_start(a[::-1], b[::-1])
     a, b = a[: len(a) - end], b[: len(b) - end]
     if not a or not b:
         return len(a) + len(b)

@@ -31,6 +31,19 @@ def test_edit_distance():
     assert lines.edit_distance("x" * 500 + "a" * 90, "x" * 500 + "b" * 90, 100) == 90
 
 
+def plain_print(words):
+    def mix(x):
+        for step in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ x >> 33) * step & (1 << 64) - 1
+        return x ^ x >> 33
+
+    hashes = [
+        mix((sum(b * pow(lines.BYTE_STEP, k, 1 << 64) for k, b in enumerate(w)) + len(w)) & (1 << 64) - 1)
+        for w in words
+    ]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
 def brute(rows):
     """Places removed of each row, by comparing all lines."""
     found = {}
@@ -40,8 +53,7 @@ def brute(rows):
             if len(words) >= lines.MIN_WORDS:
                 found.setdefault(b" ".join(words), []).append((i is None, i or 0, text, at))
     names = sorted(found)
-    bits = lines.WordBits()
-    fps = np.array([bits.simhashes(bits.places(n.split(b" ")), [0])[0] for n in names], np.uint64)
+    fps = np.array([plain_print(n.split(b" ")) for n in names], np.uint64)
     groups = Groups()
     for k in range(len(names)):
         groups.find(k)
@@ -116,10 +128,13 @@ def test_empty(no_docs):
     assert lines.line_dedup(no_docs).collect() == []
 
 
-def test_simhash_of_long_lines():
-    """More words than a byte can count."""
-    words = [b"a"] * 700 + [b"b"] * 300
-    bits = lines.WordBits()
-    got = int(bits.simhashes(bits.places(words) + bits.places([b"c"]), [0, 1000])[0])
-    assert got == bits.hashes[0]
+def test_prints():
+    """More words than a byte can count, lines at the edges, short ones in between."""
+    texts = [b"a " * 700 + b"b " * 300 + b"\nx y", b"", b"\n\nA-B c,d 7 \xc3\xa9", b"a b c d 9 \xc3\xa9\n"]
+    owner, at, names, fps = lines.line_prints(texts)
+    assert list(zip(owner.tolist(), at.tolist())) == [(0, 0), (2, 2), (3, 0)]
+    want = [plain_print([b"a"] * 700 + [b"b"] * 300)] + [plain_print(b"a b c d 0 \xc3\xa9".split())] * 2
+    assert fps.tolist() == want
+    assert names[1].tolist() == names[2].tolist() != names[0].tolist()
+    assert len(lines.line_prints([b"", b"\n"])[0]) == 0
     assert hamming.mask_of([0, 63]) == 1 | 1 << 63
