@@ -37,6 +37,7 @@ REACH = LENGTH - GRAM + 1  # 32-byte strings in one of 100 bytes
 PLACE_BITS = 23
 CHUNK = 1 << 22
 BLOCK = 1 << 22
+MOST_ROWS = 200_000
 # Beyond so many occurrences an anchor's strings are dealt out one by one.
 FREQUENT = 100_000
 
@@ -77,8 +78,11 @@ def pieces(text: bytes) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, hash, place): place packs first start, number of starts (one byte each for it
-    and for the way from first start to anchor)."""
+    """(doc, hash, places): one row for all places of an anchor in a document, so that a text
+    that repeats itself does not make its anchor frequent.
+
+    A place is a number of 8 bytes: the first start above, the number of starts in the last.
+    """
     for batch in batches:
         docs, hashes, places = [], [], []
         rows = zip(batch.column("doc").to_pylist(), batch.column("text"), batch.column("copy").to_pylist())
@@ -93,8 +97,17 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hashes.append(found.view(np.int64))
                 places.append((first + at) << 8 | number)
         if docs:
-            columns = [np.concatenate(c) for c in (docs, hashes, places)]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["doc", "hash", "place"])
+            docs, hashes, places = (np.concatenate(c) for c in (docs, hashes, places))
+            order = np.lexsort((places, hashes, docs))
+            docs, hashes, places = docs[order], hashes[order], places[order]
+            new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])])
+            first = np.flatnonzero(new)
+            ends = (np.append(first, len(docs)) * 8).astype(np.int32)
+            packed = pa.Array.from_buffers(
+                pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(places.astype("<i8"))]
+            )
+            columns = [pa.array(docs[first]), pa.array(hashes[first]), packed]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "hash", "places"])
 
 
 CONTEXT = pa.schema(
@@ -118,26 +131,44 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 0
         for id_, doc, text, found in rows:
             id_, doc, text = id_.as_py(), doc.as_py(), text.as_py().encode()
-            for at in sorted(found.as_py(), key=lambda x: x["place"]):
-                start, number = at["place"] >> 8, at["place"] & 255
-                cuts = [(at["hash"], start, number)]
-                if at["frequent"]:
-                    cuts = [(None, s, 1) for s in range(start, start + number)]
-                for key, s, n in cuts:
-                    own = text[s : s + n + LENGTH - 1]
-                    if key is None:
-                        key = xxhash.xxh64_intdigest(own) - (1 << 63)
-                    first = seen.setdefault(own, (doc, s))
-                    if first != (doc, s):
-                        out.append((key, id_, doc, s, n, None))
-                    else:
-                        out.append((key, id_, doc, s, n, own))
-                        size += len(own)
-            if size > 4 * CHUNK:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), CONTEXT.types)], schema=CONTEXT)
-                out, size, seen = [], 0, {}
+            for key, start, number in _cuts(found.as_py()):
+                own = text[start : start + number + LENGTH - 1]
+                if key is None:
+                    key = xxhash.xxh64_intdigest(own) - (1 << 63)
+                first = seen.setdefault(own, (doc, start))
+                if first == (doc, start):
+                    out.append((key, id_, doc, start, number, own))
+                    size += len(own)
+                else:
+                    out.append((key, id_, doc, start, number, None))
+                if size > 4 * CHUNK or len(out) > MOST_ROWS:
+                    yield _context_batch(out)
+                    out, size, seen = [], 0, {}
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), CONTEXT.types)], schema=CONTEXT)
+            yield _context_batch(out)
+
+
+def _context_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), CONTEXT.types)]
+    return pa.RecordBatch.from_arrays(columns, schema=CONTEXT)
+
+
+def _cuts(found: list[dict]) -> Iterator[tuple[int | None, int, int]]:
+    """(anchor, first start, number of starts) in order; no anchor for single strings."""
+    starts, numbers, keys = [], [], []
+    for at in found:
+        place = np.frombuffer(at["places"], "<i8")
+        start, number = place >> 8, place & 255
+        if at["frequent"]:
+            inside = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+            start, number = np.repeat(start, number) + inside, np.ones(len(inside), np.int64)
+        starts.append(start)
+        numbers.append(number)
+        keys += [None if at["frequent"] else at["hash"]]
+    owner = np.repeat(np.arange(len(found)), list(map(len, starts)))
+    starts, numbers = np.concatenate(starts), np.concatenate(numbers)
+    for k in np.argsort(starts, kind="stable"):
+        yield keys[owner[k]], int(starts[k]), int(numbers[k])
 
 
 def repeats(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -259,12 +290,12 @@ def substring_dedup(
         "id", "doc", "text", F.coalesce("_copy", F.lit(False)).alias("copy")
     )
     rows = base.select("id", "doc", "text", "copy").mapInArrow(
-        _anchor_rows, "doc bigint, hash bigint, place bigint"
+        _anchor_rows, "doc bigint, hash bigint, places binary"
     )
-    n = F.count("*").over(Window.partitionBy("hash"))
+    n = F.sum(F.octet_length("places") / 8).over(Window.partitionBy("hash"))
     again = rows.withColumn("n", n).where("n > 1")
     again = again.groupBy("doc").agg(
-        F.collect_set(F.struct("hash", "place", (F.col("n") > frequent).alias("frequent"))).alias("found")
+        F.collect_set(F.struct("hash", "places", (F.col("n") > frequent).alias("frequent"))).alias("found")
     )
     context = base.join(again, "doc").select(F.coalesce("id", last).alias("id"), "doc", "text", "found")
     context = context.mapInArrow(_contexts, CONTEXT_DDL)
