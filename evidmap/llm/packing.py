@@ -14,7 +14,6 @@ of their own; an empty table gives no pieces; ids may be null.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,67 +32,104 @@ SHARD_TOKENS = 1 << 20
 K1, B = 1.2, 0.75
 PIECE = 1 << 20
 
-# The word pattern of the tokenizer's file, for texts in Latin-1.
-LETTERS, NUMBERS, SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", " \t\n\v\f\r\x85\xa0"
-WORD = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+"
-)
-ODD = re.compile("[\x1c-\x1f]|<\\|")
+# Controls, which are no plain text; and the start of a special token.
+CONTROLS = bytes([*range(9), *range(14, 32), 127])
+SPECIAL = "<|"
+MARK = "\x01"  # between words that are encoded together; no plain text holds it
+
+
+def is_plain(text: str) -> bool:
+    """Latin-1 without controls or special tokens."""
+    try:
+        data = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return SPECIAL not in text and len(data.translate(None, CONTROLS)) == len(data)
 
 
 class WordTokens:
     """Ids of texts, with the ids of each word kept.
 
-    The tokenizer splits texts into words that it encodes one by one. Texts outside
-    Latin-1, and those that might hold a special token, go through the tokenizer itself.
+    The tokenizer drops white space and encodes nothing across it, so what stands between
+    two spaces has the same ids everywhere. Texts outside Latin-1 (where small letters may
+    depend on neighbours), and those that might hold a special token, go through the
+    tokenizer itself.
     """
 
     MOST_WORDS = 1_000_000  # the table of words begins anew beyond this; no text is passed over
+    TOGETHER = 500
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
+        (self.mark,) = self._encode(MARK)
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         if len(self.words) > self.MOST_WORDS:
             self.words.clear()
-            new = list(set(words))
-        else:
-            new = [w for w in set(words) if w not in self.words]
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.words[word] = np.array(found.ids, "<u4").tobytes()
-
-    def piece(self, text: str) -> bytes:
-        try:
-            text.encode("latin-1")
-            plain = not ODD.search(text)
-        except UnicodeEncodeError:
-            plain = False
-        if not plain:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
-        words = WORD.findall(text.lower())
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(self.words.__getitem__, words))
-
-    def ids(self, text: str | None) -> bytes:
-        """Little-endian 32-bit ids of the text, then the end token."""
-        text, at, size, found = text or "", 0, PIECE, []
-        while len(text) - at > size:
-            # words never reach over a space
-            space = max(text.rfind(s, at, at + size) for s in " \n")
-            if space <= at:
-                size *= 2
-                continue
-            found.append(self.piece(text[at:space]))
-            at = space
-        found.append(self.piece(text[at:]))
-        return b"".join(found) + np.array([END], "<u4").tobytes()
+        new = [w for w in words if w not in self.words]
+        between = f" {MARK} "
+        for at in range(0, len(new), self.TOGETHER):
+            part = new[at : at + self.TOGETHER]
+            ids = np.array(self._encode(between.join(part)), "<u4")
+            cuts = np.flatnonzero(ids == self.mark).tolist()
+            data = ids.tobytes()
+            for word, start, end in zip(part, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]):
+                self.words[word] = data[4 * start : 4 * end]
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text, then the end token."""
+        end = np.array([END], "<u4").tobytes()
+        words: list[list[str] | None] = []
+        for text in texts:
+            words.append(text.lower().split() if is_plain(text) else None)
+        known = self.words
+        missing = {w for own in words if own for w in own if w not in known}
+        if missing:
+            self.learn(missing)
+        found = []
+        for text, own in zip(texts, words):
+            if own is None:
+                ids = b"".join(np.array(self._encode(p), "<u4").tobytes() for p in pieces(text))
+            else:
+                try:
+                    ids = b"".join(map(known.__getitem__, own))
+                except KeyError:  # the table has begun anew
+                    self.learn(set(own))
+                    ids = b"".join(map(known.__getitem__, own))
+            found.append(ids + end)
+        return found
+
+
+def pieces(text: str, size: int = PIECE) -> Iterator[str]:
+    """A text in pieces of about ``size``, cut at spaces, which no token reaches over."""
+    at = 0
+    while len(text) - at > size:
+        space = max(text.rfind(s, at, at + size) for s in " \n")
+        if space <= at:
+            size *= 2
+            continue
+        yield text[at:space]
+        at = space
+    yield text[at:]
+
+
+def grouped(texts: pa.Array, size: int = PIECE) -> Iterator[list[str]]:
+    """Texts (null: empty), some of them at a time."""
+    held, length = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        length += len(held[-1])
+        if length >= size:
+            yield held
+            held, length = [], 0
+    if held:
+        yield held
 
 
 def tokenized(docs: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFrame:
@@ -104,7 +140,7 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens(tokenizer)
         for batch in batches:
-            ids = [tokens.ids(t.as_py()) for t in batch.column("text")]
+            ids = [x for some in grouped(batch.column("text")) for x in tokens.texts(some)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(ids, pa.binary())], ["id", "ids"]
             )
@@ -116,14 +152,17 @@ def term_counts(tokens: DataFrame) -> tuple[dict[int, int], int, int]:
     """Documents per token id (no more rows than the vocabulary), documents, tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, docs, total = np.zeros(0, np.int64), 0, 0
+        seen, here, docs, total = np.zeros(1, np.int64), np.zeros(1, bool), 0, 0
         for batch in batches:
             for ids in batch.column("ids"):
                 ids = np.frombuffer(ids.as_py(), "<u4")
-                found = np.bincount(ids) > 0
-                if len(found) > len(seen):
-                    seen = np.append(seen, np.zeros(len(found) - len(seen), np.int64))
-                seen[: len(found)] += found
+                if ids.max() >= len(seen):
+                    more = int(ids.max()) + 1 - len(seen)
+                    seen, here = np.append(seen, np.zeros(more, np.int64)), np.append(here, np.zeros(more, bool))
+                here[ids] = True
+                own = np.flatnonzero(here)
+                seen[own] += 1
+                here[own] = False
                 docs += 1
                 total += len(ids)
         terms = np.flatnonzero(seen)
