@@ -155,7 +155,7 @@ def vote_patterns(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(run, "votes string, n bigint")
     rows = sorted(rows.groupBy("votes").agg(F.sum("n").alias("n")).collect())
-    patterns = np.array([[int(v) for v in r.votes] for r in rows]).reshape(-1, len(RULES))
+    patterns = np.array([[int(v) for v in r.votes] for r in rows], np.int64).reshape(-1, len(RULES))
     return patterns, np.array([r.n for r in rows], np.float64)
 
 
