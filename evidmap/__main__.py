@@ -24,7 +24,8 @@ def main() -> None:
     parser.add_argument("--checksums", help="folder of .md5 files; others are not ingested")
     parser.add_argument("--batch", help="name of this run; a run of the same name replaces it")
     parser.add_argument("--stages", nargs="+", choices=jobs.FULL, default=jobs.FULL)
-    parser.add_argument("--limit", type=int, default=5000, help="abstracts per extraction stage")
+    parser.add_argument("--limit", type=int, help="abstracts per extraction stage; all by default")
+    parser.add_argument("--retry-failed", action="store_true", help="extract again what failed")
     parser.add_argument("--stream", action="store_true", help="ingest files as they arrive")
     parser.add_argument("--every", help="keep looking for files at this interval")
     options = parser.parse_args()
@@ -45,6 +46,7 @@ def main() -> None:
         path=options.files,
         checksums=options.checksums,
         limit=options.limit,
+        retry_failed=options.retry_failed,
     )
     summary.show(100, truncate=False)
     store = Store(spark, options.store)

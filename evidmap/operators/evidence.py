@@ -80,17 +80,15 @@ def study_design_over_time(articles: DataFrame, extractions: DataFrame) -> DataF
 def study_design_maps(articles: DataFrame, extractions: DataFrame) -> DataFrame:
     """A3 as one row per year with a map design -> count.
 
-    The designs are a closed set, so each is a counter of its own and no group
-    is collected.
+    Articles are counted first, so a year's group holds a row per design, whatever the
+    designs are.
     """
-    counters = [count_where(F.col("study_design") == d).alias(d) for d in STUDY_DESIGNS]
-    entries = [x for d in STUDY_DESIGNS for x in (F.lit(d), F.col(d))]
+    counted = _designs_by_year(articles, extractions).groupBy("year", "study_design").agg(
+        F.count("*").alias("n")
+    )
+    entries = F.array_sort(F.collect_list(F.struct("study_design", "n")))
     return (
-        _designs_by_year(articles, extractions)
-        .groupBy("year")
-        .agg(*counters)
-        .select("year", F.map_filter(F.create_map(*entries), lambda _, n: n > 0).alias("designs"))
-        .orderBy("year")
+        counted.groupBy("year").agg(F.map_from_entries(entries).alias("designs")).orderBy("year")
     )
 
 

@@ -56,6 +56,8 @@ def parse_extractions(answers: DataFrame) -> DataFrame:
         F.col("a.extraction_error").alias("answer_error"),
     )
     size = F.col("population.sample_size")
+    # a number that no int holds is a wrong value, not the end of the run
+    whole = F.regexp_replace(F.trim(size), r"\.0*$", "").try_cast("int")
     confidence = F.when(F.col("confidence") == "false", 0.0).otherwise(
         F.col("confidence").try_cast("double")
     )
@@ -69,7 +71,9 @@ def parse_extractions(answers: DataFrame) -> DataFrame:
         .when(
             confidence.isNull() | ~confidence.between(0.0, 1.0), "validation: extraction_confidence"
         )
-        .when(size.isNotNull() & ~size.rlike(_INTEGER), "validation: sample_size")
+        .when(
+            size.isNotNull() & (~size.rlike(_INTEGER) | whole.isNull()), "validation: sample_size"
+        )
     )
     checked = typed.withColumn("reason", reason)
     good = F.col("reason").isNull()
@@ -83,7 +87,7 @@ def parse_extractions(answers: DataFrame) -> DataFrame:
             F.when(good, F.col(f"population.{name}")).alias(name)
             for name in ("sex", "age_group", "disease_stage")
         ],
-        F.when(good, size.try_cast("double")).cast("int").alias("sample_size"),
+        F.when(good, whole).alias("sample_size"),
         F.when(good, F.col("population.special_population")).alias("special_population"),
     )
     return checked.select(
@@ -126,30 +130,43 @@ def _pairs(entries: Column) -> Column:
 
 def apply_extractor(
     abstracts: DataFrame,
-    extractor: Callable[[str], dict | str],
+    extractor: Callable[[str], dict | str] | Callable[[list[tuple[str, str]]], list[dict | str]],
     partitions: int | None = None,
+    by_batch: bool = False,
 ) -> DataFrame:
     """One extraction row per (pubmed_id, abstract), from the caller's function.
 
-    ``extractor`` gets an abstract and gives the answer as a dict or as JSON. It
-    runs on the executors, batch by batch; what it raises becomes the row's error.
+    ``extractor`` gets an abstract and gives the answer as a dict or as JSON; with
+    ``by_batch`` it gets a list of (pubmed_id, abstract) and gives as many answers. It
+    runs on the executors, batch by batch; what it raises becomes the rows' error.
     ``partitions`` says over how many tasks to spread the calls, else they run
     where the rows are.
     """
     if partitions:
         abstracts = abstracts.repartition(partitions)
 
-    def answer(text: str) -> tuple[str | None, str | None]:
+    def answer(call: Callable[[], dict | str]) -> tuple[str | None, str | None]:
         try:
-            given = extractor(text)
+            given = call()
             given = json.loads(given) if isinstance(given, str) else given
             return json.dumps(dict(given)), None
         except Exception as error:  # the caller's function may raise anything
             return None, str(error)[:MESSAGE_LENGTH]
 
+    def answers_of(rows: list[tuple[str, str]]) -> list[tuple[str | None, str | None]]:
+        if not by_batch:
+            return [answer(lambda: extractor(text)) for _, text in rows]
+        try:
+            given = list(extractor(rows))
+            if len(given) != len(rows):
+                raise ValueError(f"{len(given)} answers to {len(rows)} abstracts")
+        except Exception as error:
+            return [(None, str(error)[:MESSAGE_LENGTH])] * len(rows)
+        return [answer(lambda: one) for one in given]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = [answer(text) for text in batch["abstract"]]
+            answers = answers_of(list(zip(batch["pubmed_id"], batch["abstract"])))
             yield pd.DataFrame(
                 {
                     "pubmed_id": batch["pubmed_id"],
@@ -323,13 +340,13 @@ def tag_abstracts(abstracts: DataFrame, rules: TagRules | None = None) -> DataFr
     sex = F.when(_any_of(F.col("text"), rules.female), F.lit("female")).when(
         _any_of(F.col("text"), rules.male), F.lit("male")
     )
-    # nine digits always fit an int
-    sample = F.regexp_extract("text", rf" (\d{{1,9}}) (?:{'|'.join(rules.subjects)}) ", 1)
+    # a number that no int holds is not a sample size
+    sample = F.regexp_extract("text", rf" (\d+) (?:{'|'.join(rules.subjects)}) ", 1)
     population = F.struct(
         sex.alias("sex"),
         F.lit(None).cast("string").alias("age_group"),
         F.lit(None).cast("string").alias("disease_stage"),
-        blank_to_null(sample).cast("int").alias("sample_size"),
+        blank_to_null(sample).try_cast("int").alias("sample_size"),
         F.lit(None).cast("string").alias("special_population"),
     )
     # share of the four kinds of findings that are there

@@ -116,7 +116,10 @@ def k_hop(links: DataFrame, seeds: DataFrame, k: int = 2) -> DataFrame:
         F.struct(F.col("source").alias("node"), F.col("target").alias("id")),
         F.struct(F.col("target").alias("node"), F.col("source").alias("id")),
     )
-    edges = links.select(F.inline(both_ways)).where(F.col("node") != F.col("id"))
+    # distinct and written once: a hub has a row per neighbour, not per link, and no round
+    # computes the links again
+    edges = links.select(F.inline(both_ways)).where(F.col("node") != F.col("id")).distinct()
+    edges = cut_lineage(edges)
     newest = seeds.select("id").distinct()
     reached = newest.withColumn("distance", F.lit(0))
     for distance in range(1, k + 1):

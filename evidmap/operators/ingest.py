@@ -125,13 +125,12 @@ def current_extractions(changes: DataFrame, order: Column | None = None) -> Data
 def pending_abstracts(
     articles: DataFrame,
     extractions: DataFrame,
-    limit: int | None = 500,
+    limit: int | None = None,
     retry_failed: bool = False,
 ) -> DataFrame:
-    """(pubmed_id, abstract) without an extraction yet, the first ``limit`` by id.
+    """(pubmed_id, abstract) without an extraction yet; with ``limit`` the first by id.
 
-    A failed extraction counts as done unless ``retry_failed``; no limit with
-    ``limit=None``.
+    A failed extraction counts as done unless ``retry_failed``.
     """
     done = extractions
     if retry_failed:

@@ -33,6 +33,8 @@ _ANSWERS = {
         '"disease_stage": "III-IV", "sample_size": 100, "special_population": null}, '
         '"extraction_confidence": 0.92}'
     ),
+    10: '{"population": {"sample_size": 99999999999}, "treatments": ["{s}"]}',
+    11: '{"population": {"sample_size": "2147483648.0"}, "study_design": "other"}',
 }
 
 
@@ -79,8 +81,9 @@ def _flat(df):
   CAST(CASE v WHEN 5 THEN 0.5 WHEN 9 THEN 0.92 ELSE 0.0 END AS DOUBLE) AS extraction_confidence,
   CASE v WHEN 0 THEN 'validation: answer' WHEN 1 THEN 'validation: study_design'
     WHEN 2 THEN 'validation: effect_direction' WHEN 3 THEN 'validation: extraction_confidence'
-    WHEN 4 THEN 'validation: sample_size' WHEN 8 THEN 'LLM timeout' END AS extraction_error
-FROM (SELECT *, o_orderkey % 10 AS v FROM orders)""",
+    WHEN 4 THEN 'validation: sample_size' WHEN 10 THEN 'validation: sample_size'
+    WHEN 11 THEN 'validation: sample_size' WHEN 8 THEN 'LLM timeout' END AS extraction_error
+FROM (SELECT *, o_orderkey % 12 AS v FROM orders)""",
 )
 def e1(spark, folder):
     return _flat(extract.parse_extractions(_answers(spark, folder)))

@@ -146,18 +146,26 @@ def s6(spark, folder):
     "s7_child_rows",
     with_tables(
         "doc_records",
-        """SELECT pubmed_id, CAST(0 AS INTEGER) AS author_no, 'L' || doc_id AS last_name,
-  CASE WHEN doc_id % 3 = 0 THEN 'Agency ' || source END AS agency
+        """SELECT pubmed_id, 'author' AS kind, CAST(0 AS INTEGER) AS place, 'L' || doc_id AS name
 FROM doc_records WHERE has_id AND well_formed
-UNION ALL SELECT pubmed_id, 1, NULL, CASE WHEN doc_id % 3 = 0 THEN 'Agency ' || source END
-FROM doc_records WHERE has_id AND well_formed""",
+UNION ALL SELECT pubmed_id, 'author', 1, NULL FROM doc_records WHERE has_id AND well_formed
+UNION ALL SELECT pubmed_id, 'grant', 0, 'Agency ' || source
+FROM doc_records WHERE has_id AND well_formed AND doc_id % 3 = 0""",
     ),
 )
 def s7(spark, folder):
-    articles = scan_articles(spark, testdata.landed_documents(spark, folder))
-    grants = ingest.grant_rows(articles).select("pubmed_id", "agency")
-    authors = ingest.author_rows(articles).select("pubmed_id", "author_no", "last_name")
-    return authors.join(grants, "pubmed_id", "left")
+    """Both kinds of children, from records parsed once."""
+    path = new_folder(spark, "articles")
+    parsed = scan_articles(spark, testdata.landed_documents(spark, folder))
+    parsed.select("pubmed_id", "authors", "grants").write.parquet(path)
+    articles = spark.read.parquet(path)
+    authors = ingest.author_rows(articles).select(
+        "pubmed_id", F.lit("author").alias("kind"), F.col("author_no").alias("place"), F.col("last_name").alias("name")
+    )
+    grants = ingest.grant_rows(articles).select(
+        "pubmed_id", F.lit("grant").alias("kind"), F.col("grant_no").alias("place"), F.col("agency").alias("name")
+    )
+    return authors.unionByName(grants)
 
 
 # ---- extractions ------------------------------------------------------------------

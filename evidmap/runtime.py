@@ -2,31 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    A local session without that setting (tests) gets a temporary folder; a
-    cluster session without it is an error, since a machine-local folder would
-    be lost with its executor.
+    Without that setting a folder in the warehouse, which executors share too. The
+    context learns of the folder here, wherever the setting was made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="evidmap-"))
-    return context.getCheckpointDir().rstrip("/")
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_evidmap"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -35,6 +29,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/evidmap/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives lost executors."""
     shared_folder(df.sparkSession)
@@ -51,22 +51,6 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast when it has at most ``rows`` rows, which are counted;
-    otherwise the join is left to Spark."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-# A table of fewer splits than this is small: at most 8 GB at the default split size.
-FEW_SPLITS = 64
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small table that comes in few splits over all cores of the session.
-
-    A file of one row group is one task however many cores there are. Tables of
-    many splits, where the shuffle would cost and gain nothing, stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores) if splits < min(cores, FEW_SPLITS) else df
+def spread(df: DataFrame, tasks: int) -> DataFrame:
+    """Rows over ``tasks`` tasks: for heavy work on a table that comes in few splits."""
+    return df.repartition(tasks)

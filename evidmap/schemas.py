@@ -41,6 +41,9 @@ EXTRACTION = (
     f"treatment_outcomes array<{PAIR}>, study_design string, population {POPULATION}, "
     "extraction_confidence double, extraction_error string, extracted_ts timestamp"
 )
+FILE_REPORT = (
+    "file_name string, total_parsed bigint, filtered bigint, inserted bigint, status string"
+)
 MANIFEST = "file_name string, md5_checksum string, record_count bigint, ingest_ts timestamp"
 
 EXTRACTION_FIELDS = (

@@ -19,7 +19,7 @@ BLANKS = "  "
 def table(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
     """A table of the driver; ``heavy`` says that the work on a row outweighs moving it."""
     rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(rows) if heavy else rows
+    return spread(rows, spark.sparkContext.defaultParallelism) if heavy else rows
 
 
 def cases(*branches: tuple[Column, Column], otherwise: Column | None = None) -> Column:

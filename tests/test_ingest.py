@@ -21,11 +21,11 @@ ARTICLE = "pubmed_id string, title string, abstract string, mesh_terms array<str
         ("Test", None, ["ENDOMETRIOSIS"], True),
         ("Test", None, ["d004715"], True),
         ("Test", None, ["Endometriosis of bowel"], False),
-        ("Laparoscopy for endometriosis treatment", None, [], True),
-        ("Test", "Women with endometrioma were enrolled.", [], True),
+        ("On the many faces of Endometriosis", None, [], True),
+        ("Test", "One endometrioma, two cysts", [], True),
         ("Endometri", "osis", [], False),
         (None, "ADENOMYOSIS", None, True),
-        ("Diabetes management in adults", "This study examined insulin therapy.", [], False),
+        ("Bees of the coast", "Their flight in rain.", [], False),
         ("Test", None, [None], False),
         (None, None, None, False),
     ],
