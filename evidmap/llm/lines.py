@@ -320,9 +320,9 @@ def line_dedup(
     kept = grouped.join(kept, "label").select("line", "kept.doc", "kept.at")
     kept = kept.select("line", F.col("doc").alias("kept_doc"), F.col("at").alias("kept_at"))
     gone = found.select("doc", "at", "line").join(kept, "line")
-    gone = gone.where("doc != kept_doc OR at != kept_at").distinct()
-    gone = gone.groupBy(F.col("doc").alias("_doc")).agg(
-        F.array_sort(F.collect_list("at")).alias("removed")
+    # straight into an aggregation by document, so that a very common line can be split
+    gone = gone.where("doc != kept_doc OR at != kept_at").groupBy(F.col("doc").alias("_doc")).agg(
+        F.array_sort(F.collect_set("at")).alias("removed")
     )
     none = F.array().cast("array<int>")
     rest = rest.join(gone, "_doc", "left").drop("_doc")

@@ -139,8 +139,12 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if first == (doc, start):
                     out.append((key, id_, doc, start, number, own))
                     size += len(own)
+                elif out and out[-1][2] == doc and out[-1][5] is None and out[-1][3] + out[-1][4] == start:
+                    # repeats side by side become one row
+                    out[-1] = (*out[-1][:4], out[-1][4] + number, None)
                 else:
-                    out.append((key, id_, doc, start, number, None))
+                    # no other row has to meet it: it is dealt by its document
+                    out.append((doc, id_, doc, start, number, None))
                 if size > 4 * CHUNK or len(out) > MOST_ROWS:
                     yield _context_batch(out)
                     out, size, seen = [], 0, {}
