@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidmap.functions.text import blank_to_null, literal_map
+from evidmap.functions.text import blank_to_null
 from evidmap.schemas import EFFECT_DIRECTIONS, PAIR, POPULATION, STUDY_DESIGNS
 
 # ---- E1 -----------------------------------------------------------------------
@@ -183,10 +183,6 @@ def apply_extractor(
 
 # ---- E3 -----------------------------------------------------------------------
 
-# A dictionary is one pattern; larger ones call for another way of matching.
-MAX_TERMS = 2000
-
-
 @dataclass(frozen=True)
 class TagRules:
     """What the tagger looks for; terms map to the name they are reported under.
@@ -275,13 +271,69 @@ def _words(terms: Iterable[str]) -> str:
     return " (" + "|".join(sorted(set(terms), key=lambda t: (-len(t), t))) + ")(?= )"
 
 
-def _named(sentence: Column, terms: dict[str, str]) -> Column:
-    """Distinct names whose terms occur, longest term first where terms overlap."""
-    if not terms:
-        return F.array().cast("array<string>")
-    found = F.regexp_extract_all(sentence, F.lit(_words(terms)), F.lit(1))
-    names = literal_map(dict(sorted(terms.items())))
-    return F.array_distinct(F.transform(found, lambda t: F.element_at(names, t)))
+TREATMENT, OUTCOME = 0, 1
+
+
+def _sentences_with_terms(plain: DataFrame, rules: TagRules) -> DataFrame:
+    """(key, tagged): the sentences of a text with terms, each with the distinct names.
+
+    Runs of words meet a table of terms in a join, so a dictionary may have any size;
+    where terms overlap, the first and then the longest one counts.
+    """
+    terms = [
+        (term, kind, name)
+        for kind, names in ((TREATMENT, rules.treatments), (OUTCOME, rules.outcomes))
+        for term, name in names.items()
+    ]
+    dictionary = plain.sparkSession.createDataFrame(terms, "run string, kind int, name string")
+    longest = max((len(term.split(" ")) for term, _, _ in terms), default=0)
+    words = F.split(F.trim("sentence"), " ")
+    sentences = plain.select(
+        "key", F.posexplode_outer(F.split("plain", "\n")).alias("number", "sentence")
+    ).select("key", "number", words.alias("words"))
+
+    def runs(length: int) -> Column:
+        found = F.transform(
+            "words",
+            lambda word, at: F.struct(
+                at.cast("int").alias("at"),
+                F.lit(length).alias("length"),
+                (word if length == 1 else F.array_join(F.slice("words", at + 1, F.lit(length)), " ")).alias("run"),
+            ),
+        )
+        return F.filter(found, lambda r: r["at"] + length <= F.size("words"))
+
+    every = F.concat(*[runs(n) for n in range(1, longest + 1)]) if longest else F.array()
+    if not longest:
+        return plain.select("key", F.array().cast(f"array<{_TAGGED}>").alias("tagged")).limit(0)
+    met = (
+        sentences.select("key", "number", F.explode_outer(every).alias("r"))
+        .select("key", "number", "r.*")
+        .join(dictionary, "run")
+    )
+    # first place, then longest
+    order = F.struct("kind", "at", (-F.col("length")).alias("shorter"), "name")
+    met = met.groupBy("key", "number").agg(F.array_sort(F.collect_set(order)).alias("met"))
+
+    def names(kind: int) -> Column:
+        taken = F.aggregate(
+            F.filter("met", lambda m: m["kind"] == kind),
+            F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("names")),
+            lambda done, m: F.when(
+                m["at"] >= done["end"],
+                F.struct(
+                    (m["at"] - m["shorter"]).alias("end"),
+                    F.array_append(done["names"], m["name"]).alias("names"),
+                ),
+            ).otherwise(done),
+        )
+        return F.array_distinct(taken["names"])
+
+    row = F.struct("number", names(TREATMENT).alias("treatments"), names(OUTCOME).alias("outcomes"))
+    return met.groupBy("key").agg(F.array_sort(F.collect_list(row)).alias("tagged"))
+
+
+_TAGGED = "struct<number:int,treatments:array<string>,outcomes:array<string>>"
 
 
 def _any_of(text: Column, cues: Sequence[str]) -> Column:
@@ -293,26 +345,28 @@ def tag_abstracts(abstracts: DataFrame, rules: TagRules | None = None) -> DataFr
 
     Treatments and outcomes of one sentence make the pairs; the cue words of that
     sentence give the direction: neutral before mixed (both signs) before positive
-    or negative. Everything happens inside the row, nothing is shuffled.
+    or negative. Rows of equal id and text share their findings.
     """
     rules = rules or TagRules()
-    if len(rules.treatments) + len(rules.outcomes) > MAX_TERMS:
-        raise ValueError(f"at most {MAX_TERMS} terms")
     for word in rules.all_words():
         if " ".join(re.findall(r"[^\W_]+", word.lower())) != word:
             raise ValueError(f"not in lower-case words between single blanks: {word!r}")
 
     plain = abstracts.select("pubmed_id", plain_sentences(F.col("abstract")).alias("plain"))
+    plain = plain.withColumn("key", F.xxhash64("pubmed_id", "plain"))
+    found = _sentences_with_terms(plain.select("key", "plain").distinct(), rules)
+    text = _between_blanks(F.regexp_replace("plain", "[ \n]+", " "))
     tagged = F.transform(
-        F.transform(F.split("plain", "\n"), _between_blanks),
+        F.coalesce("tagged", F.array().cast(f"array<{_TAGGED}>")),
         lambda s: F.struct(
-            s.alias("text"),
-            _named(s, rules.treatments).alias("treatments"),
-            _named(s, rules.outcomes).alias("outcomes"),
+            _between_blanks(F.get(F.split("plain", "\n"), s["number"])).alias("text"),
+            s["treatments"].alias("treatments"),
+            s["outcomes"].alias("outcomes"),
         ),
     )
-    text = _between_blanks(F.regexp_replace("plain", "[ \n]+", " "))
-    base = plain.select("pubmed_id", text.alias("text"), tagged.alias("tagged"))
+    base = plain.join(found, "key", "left").select(
+        "pubmed_id", text.alias("text"), tagged.alias("tagged")
+    )
     # cue words are looked for in sentences with a pair only
     paired = F.filter(
         "tagged", lambda s: (F.size(s["treatments"]) > 0) & (F.size(s["outcomes"]) > 0)
