@@ -7,6 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evidmap.runtime import cut_lineage
@@ -59,10 +60,6 @@ def cluster_embeddings(
     return density_clusters(project(embeddings), radius, min_points, min_cluster_size)
 
 
-# Cell coordinates fit 31 bits each, so that a cell number fits a bigint.
-_HALF = 2**30
-
-
 def density_clusters(
     points: DataFrame, radius: float, min_points: int = 10, min_cluster_size: int = 10
 ) -> DataFrame:
@@ -71,23 +68,16 @@ def density_clusters(
     The plane is cut into cells of side ``radius``; cells that touch are
     neighbours. A cell is core when it and its neighbours hold ``min_points``
     points; neighbouring core cells belong together, other neighbours of a core
-    cell join the smallest cluster number next to them. Points outside, and
-    clusters under ``min_cluster_size`` points, are noise (-1). A cluster's
-    number is its smallest core cell number.
+    cell join the cluster with the smallest cell next to them. Points outside, and
+    clusters under ``min_cluster_size`` points, are noise (-1). Clusters are
+    numbered from 0 in the order of their smallest core cell.
 
     Points are counted per cell at once and never paired, so a cell that holds
     most of them costs one partial count. All further steps are on cells.
     """
-    limit = (F.abs(F.col("x") / radius) < _HALF - 1) & (F.abs(F.col("y") / radius) < _HALF - 1)
-    across = F.when(limit, F.floor(F.col("x") / radius))
-    up = F.when(limit, F.floor(F.col("y") / radius))
+    across, up = F.floor(F.col("x") / radius), F.floor(F.col("y") / radius)
     placed = points.select(
-        "pubmed_id",
-        "x",
-        "y",
-        F.when(across.isNull(), F.raise_error("radius is too small for the range of the points"))
-        .otherwise(_cell(across, up))
-        .alias("cell"),
+        "pubmed_id", "x", "y", F.struct(across.alias("across"), up.alias("up")).alias("cell")
     )
     cells = cut_lineage(placed.groupBy("cell").agg(F.count("*").alias("points")))
 
@@ -119,24 +109,27 @@ def density_clusters(
         labelled.groupBy("label")
         .agg(F.sum("points").alias("size"))
         .where(F.col("size") >= min_cluster_size)
-        .select("label")
     )
-    kept = labelled.join(large, "label", "left_semi").select(
-        "cell", F.col("label").alias("cluster")
+    # one row per cluster reaches this window
+    number = (F.row_number().over(W.orderBy("label")) - 1).cast("bigint")
+    kept = labelled.join(large.select("label", number.alias("cluster")), "label").select(
+        "cell", "cluster"
     )
     return placed.join(kept, "cell", "left").select(
         "pubmed_id", "x", "y", F.coalesce("cluster", F.lit(NOISE).cast("bigint")).alias("cluster")
     )
 
 
-def _cell(across: Column, up: Column) -> Column:
-    return (across + _HALF) * (2 * _HALF) + (up + _HALF)
-
-
 def _block(cell: str) -> Column:
-    """Numbers of a cell and the eight around it."""
-    steps = [a * 2 * _HALF + b for a in (-1, 0, 1) for b in (-1, 0, 1)]
-    return F.array(*[F.col(cell) + F.lit(step).cast("bigint") for step in steps])
+    """A cell and the eight around it."""
+    across, up = F.col(cell)["across"], F.col(cell)["up"]
+    return F.array(
+        *[
+            F.struct((across + a).alias("across"), (up + b).alias("up"))
+            for a in (-1, 0, 1)
+            for b in (-1, 0, 1)
+        ]
+    )
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -276,10 +276,10 @@ core_label AS (SELECT cell, min(start) AS label FROM reach GROUP BY cell),
 label AS (SELECT c.cell, coalesce(any_value(own.label), min(l.label)) AS label
   FROM cells c, steps, core_label l LEFT JOIN core_label own ON own.cell = c.cell
   WHERE l.cell = c.cell + step GROUP BY c.cell),
-large AS (SELECT label FROM label JOIN cells USING (cell) GROUP BY label HAVING sum(n) >= 10)
-SELECT pubmed_id, x, y, coalesce(CASE WHEN label IN (SELECT label FROM large) THEN label END, -1)
-  AS cluster
-FROM points LEFT JOIN label USING (cell)""",
+large AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS cluster
+  FROM (SELECT label FROM label JOIN cells USING (cell) GROUP BY label HAVING sum(n) >= 10))
+SELECT pubmed_id, x, y, coalesce(cluster, -1) AS cluster
+FROM points LEFT JOIN label USING (cell) LEFT JOIN large USING (label)""",
 )
 def m2_density(spark, folder):
     points = _vectors(spark, folder).select(

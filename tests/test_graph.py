@@ -135,6 +135,12 @@ def test_clusters_against_a_loop(spark):
     assert len(names) == len({a for a, _ in names}) == len({b for _, b in names}) == 3
 
 
+def test_points_far_apart(spark, rows):
+    points = [(f"{k}-{i}", 1e15 * k + 0.1 * i, -1e15 * k) for k in (-1, 1) for i in range(12)]
+    found = rows(embed.density_clusters(spark.createDataFrame(points, "pubmed_id string, x double, y double"), 5.0))
+    assert {(p.rsplit("-", 1)[0], c) for p, _, _, c in found} == {("-1", 0), ("1", 1)}
+
+
 def test_no_cluster_at_all(spark, rows):
     frame = spark.createDataFrame([("a", 0.0, 0.0), ("b", 9.0, 9.0)], "pubmed_id string, x double, y double")
     assert rows(embed.density_clusters(frame, 1.0)) == [("a", 0.0, 0.0, -1), ("b", 9.0, 9.0, -1)]
