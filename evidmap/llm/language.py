@@ -33,7 +33,7 @@ SMOOTHING = 0.1
 OVERLAP = 3
 # The model has 2^14 numbers per language and is held in each task: 100 MB at this many.
 MAX_LANGUAGES = 1500
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 FOUND = "lang_pred string, score double, shares map<string,double>"
 
 

@@ -56,7 +56,7 @@ class WordTokens:
     tokenizer itself.
     """
 
-    MOST_WORDS = 1_000_000  # the table of words begins anew beyond this; no text is passed over
+    MOST_WORDS = 300_000  # the table of words begins anew beyond this; no text is passed over
     TOGETHER = 500
 
     def __init__(self, path: str) -> None:
@@ -140,10 +140,12 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens(tokenizer)
         for batch in batches:
-            ids = [x for some in grouped(batch.column("text")) for x in tokens.texts(some)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(ids, pa.binary())], ["id", "ids"]
-            )
+            first = 0
+            for some in grouped(batch.column("text")):
+                ids = pa.array(tokens.texts(some), pa.binary())
+                own = batch.column("id").slice(first, len(some))
+                yield pa.RecordBatch.from_arrays([own, ids], ["id", "ids"])
+                first += len(some)
 
     return docs.mapInArrow(run, f"id {kind}, ids binary")
 
