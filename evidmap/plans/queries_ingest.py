@@ -28,7 +28,7 @@ files AS (
   SELECT printf('pubmed26n%04d.xml.gz', l_suppkey) AS file_name,
     md5(CAST(l_suppkey AS VARCHAR)) AS md5_checksum, count(*) AS record_count,
     max(CAST(l_shipdate AS TIMESTAMP)) AS ingest_ts
-  FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey)"""
+  FROM lineitem GROUP BY l_suppkey)"""
 
 
 def _manifest(spark, folder):
@@ -42,7 +42,7 @@ def _manifest(spark, folder):
 
 
 def _files(spark, folder):
-    lines = testdata.table(spark, folder, "lineitem").where("l_returnflag = 'R'")
+    lines = testdata.table(spark, folder, "lineitem")
     counted = lines.groupBy("l_suppkey").agg(
         F.count("*").alias("record_count"),
         F.max(F.col("l_shipdate").cast("timestamp")).alias("ingest_ts"),
@@ -278,8 +278,8 @@ def s10_retries(spark, folder):
 
 
 _SYNC = """WITH wanted AS (SELECT CAST(unnest(range(1200, 1210)) AS INTEGER) AS file_number),
-known AS (SELECT DISTINCT CAST(1150 + s_suppkey AS INTEGER) AS file_number FROM supplier
-  WHERE s_nationkey < 20)
+known AS (SELECT DISTINCT CAST(1190 + 2 * s_suppkey AS INTEGER) AS file_number FROM supplier
+ )
 , actions AS (
 SELECT coalesce(w.file_number, k.file_number) AS file_number,
   CASE WHEN k.file_number IS NULL THEN 'add' WHEN w.file_number IS NULL THEN 'remove'
@@ -289,8 +289,9 @@ FROM wanted w FULL JOIN known k ON w.file_number = k.file_number)"""
 
 @query("s11_partition_sync", _SYNC + " SELECT * FROM actions")
 def s11(spark, folder):
-    suppliers = testdata.table(spark, folder, "supplier").where("s_nationkey < 20")
-    registered = suppliers.select((1150 + F.col("s_suppkey")).cast("int").alias("file_number"))
+    # every second number is registered
+    suppliers = testdata.table(spark, folder, "supplier")
+    registered = suppliers.select((1190 + 2 * F.col("s_suppkey")).cast("int").alias("file_number"))
     return ingest.partition_sync(spark, registered, 1200, 1209)
 
 
