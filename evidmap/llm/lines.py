@@ -6,8 +6,11 @@ pigeonhole blocks; of those, lines with an edit similarity of 0.8 or more are li
 of each connected group of lines only the first occurrence stays: least document id,
 then least place. Texts of lines travel only where a fingerprint has a neighbour.
 
-Edge cases: null texts stay null; lines of fewer than five words, blank ones included,
-are always kept; a document may lose all its lines and then has an empty text; rows
+A sign of three or four bytes in UTF-8 (Chinese, Japanese, Thai, ...) counts as a word of
+its own, as most of these scripts put no spaces between words.
+
+Edge cases: null texts stay null; lines of fewer than five words and fewer than twenty
+characters, spaces aside, blank ones included, are always kept; a document may lose all its lines and then has an empty text; rows
 with the same id and text share their decisions; null ids come last; lines end at
 "\\n" only and join as they were split, so a document without repeats is unchanged.
 """
@@ -31,6 +34,8 @@ from evidmap.llm.hamming import Part, close_pairs, mask_of, unsigned
 from evidmap.llm.tables import row_key, rows_fit, table, written
 
 MIN_WORDS = 5
+MIN_CHARS = 20  # a line of fewer words that has so many characters is compared as well
+WIDE = 0xE0  # first bytes from here on begin signs of three or four bytes
 MAX_BITS = 3
 SIMILARITY = 0.8
 # Keys of documents (8 bytes) are broadcast up to this many; beyond, texts are shuffled.
@@ -94,13 +99,24 @@ def simhashes(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
 def line_prints(
     texts: list[bytes], min_words: int = MIN_WORDS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines of enough words: number of the text, place of the line in it, hash of the
+    """Lines of enough words or characters: number of the text, place of the line in it, hash of the
     normalised line (two columns of 64 bits), fingerprint."""
     data = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
     form = np.frombuffer(FORM, np.uint8)[data]
     inside = form != 32
-    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    tail = (form & 0xC0) == 0x80  # bytes after the first of a sign
+    heads = np.flatnonzero(inside & ~tail)
+    wide = np.zeros(len(heads) + 1, bool)
+    wide[:-1] = form[heads] >= WIDE
+    # a word begins after a gap, at a wide sign and after one
+    begins = wide[:-1] | np.concatenate([[False], wide[:-2]])[: len(heads)]
+    begin = inside & ~np.concatenate([[False], inside[:-1]])
+    begin[heads[begins]] = True
+    starts = np.flatnonzero(begin)
+    # it ends where the next one begins or a gap does
+    gap = np.flatnonzero(~inside)  # the last byte is one
+    ends = gap[np.searchsorted(gap, starts)]
+    ends = np.minimum(ends, np.append(starts[1:], len(form)))
     none = np.zeros(0, np.int64)
     if not len(starts):
         return none, none, np.zeros((0, 2), np.uint64), none.view(np.uint64)
@@ -109,7 +125,9 @@ def line_prints(
     line = breaks[starts]
     head = group_starts(line)
     sizes = np.diff(np.append(head, len(line)))
-    long = sizes >= min_words
+    signs = np.concatenate([[0], np.cumsum(inside & ~tail)])
+    last = ends[head + sizes - 1]
+    long = (sizes >= min_words) | (signs[last] - signs[starts[head]] >= MIN_CHARS)
     head, sizes = head[long], sizes[long]
     if not len(head):
         return none, none, np.zeros((0, 2), np.uint64), none.view(np.uint64)
@@ -134,7 +152,7 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, doc, at, line, fp) of every line of enough words; ``line``: 128-bit hash."""
+    """(id, doc, at, line, fp) of every line of enough words or characters; ``line``: 128-bit hash."""
     schema = T.StructType(
         [docs.schema["id"], *T.StructType.fromDDL("doc bigint, at int, line binary, fp bigint")]
     )

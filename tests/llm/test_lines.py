@@ -138,3 +138,21 @@ def test_prints():
     assert names[1].tolist() == names[2].tolist() != names[0].tolist()
     assert len(lines.line_prints([b"", b"\n"])[0]) == 0
     assert hamming.mask_of([0, 63]) == 1 | 1 << 63
+
+
+def test_short_lines_and_scripts_without_spaces(spark):
+    """Exact copies of few words but many characters go, also in scripts without spaces."""
+    chinese, thai = "版权所有未经许可不得转载", "สงวนลิขสิทธิ์ห้ามทำซ้ำ"
+    latin, few = "Copyright-protected documentation", "Read more"
+    other = "本文讨论北方地区的气候与农业"
+    text = "\n".join([chinese, thai, latin, few])
+    rows = [(1, text), (2, f"{other}\n{text}"), (3, "版权所有")]
+    got = {r.doc_id: r for r in lines.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].text == text and got[3].text == "版权所有"
+    assert list(got[2].removed) == [1, 2, 3] and got[2].text == f"{other}\n{few}"
+
+
+def test_words_of_wide_signs():
+    _, at, names, fps = lines.line_prints(["ab日本cd x\n日 本 ab cd x".encode()])
+    assert at.tolist() == [0, 1] and names[0].tolist() != names[1].tolist()
+    assert fps[0] == plain_print([w.encode() for w in ("ab", "日", "本", "cd", "x")])
