@@ -22,6 +22,8 @@ MODULES = (
     "personal",
     "quality",
     "substrings",
+    "compression",
+    "centroids",
 )
 
 
