@@ -24,6 +24,7 @@ MODULES = (
     "substrings",
     "compression",
     "centroids",
+    "debruijn",
 )
 
 

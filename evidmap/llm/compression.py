@@ -51,7 +51,7 @@ def whole_and_finite(vector: str, scale: int) -> Column:
 
 
 def integers(vector: str, scale: int) -> Column:
-    return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("int"))
+    return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).try_cast("int"))
 
 
 def common_length(vectors: DataFrame, parts: int) -> int:
