@@ -15,6 +15,7 @@ of their own; an empty table gives no pieces; ids may be null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidmap.llm.bpe import LONGEST, Merges
 from evidmap.llm.catalog import query
 from evidmap.llm.tables import table, written
 
@@ -31,6 +33,7 @@ SHARD_DOCS = 512
 SHARD_TOKENS = 1 << 20
 K1, B = 1.2, 0.75
 PIECE = 1 << 20
+GROUP = 1 << 22  # characters of the texts whose words are looked up together
 
 # Controls, which are no plain text; and the start of a special token.
 CONTROLS = bytes([*range(9), *range(14, 32), 127])
@@ -51,18 +54,20 @@ class WordTokens:
     """Ids of texts, with the ids of each word kept.
 
     The tokenizer drops white space and encodes nothing across it, so what stands between
-    two spaces has the same ids everywhere. Texts outside Latin-1 (where small letters may
-    depend on neighbours), and those that might hold a special token, go through the
-    tokenizer itself.
+    two spaces has the same ids everywhere. Words not seen before are merged together, from
+    the rank table of the tokenizer's file; those with an apostrophe, and very long ones, by the
+    tokenizer itself. So are texts outside Latin-1 (where small letters may depend on
+    neighbours), and those that might hold a special token.
     """
 
-    MOST_WORDS = 300_000  # the table of words begins anew beyond this; no text is passed over
+    MOST_WORDS = 500_000  # the table begins anew beyond this, with the words of the texts at hand
     TOGETHER = 500
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, merges: Merges | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = merges or Merges(path)
         self.words: dict[str, bytes] = {}
         (self.mark,) = self._encode(MARK)
 
@@ -70,9 +75,9 @@ class WordTokens:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) > self.MOST_WORDS:
-            self.words.clear()
-        new = [w for w in words if w not in self.words]
+        new = [word for word in words if "'" in word or len(word) > LONGEST]
+        plain = list(words.difference(new))
+        self.words.update(zip(plain, self.merges.encode(plain)))
         between = f" {MARK} "
         for at in range(0, len(new), self.TOGETHER):
             part = new[at : at + self.TOGETHER]
@@ -89,19 +94,18 @@ class WordTokens:
         for text in texts:
             words.append(text.lower().split() if is_plain(text) else None)
         known = self.words
-        missing = {w for own in words if own for w in own if w not in known}
-        if missing:
-            self.learn(missing)
+        every = set(chain.from_iterable(own for own in words if own))
+        missing = every.difference(known)
+        if known and len(known) + len(missing) > self.MOST_WORDS:
+            known.clear()
+            missing = every
+        self.learn(missing)
         found = []
         for text, own in zip(texts, words):
             if own is None:
                 ids = b"".join(np.array(self._encode(p), "<u4").tobytes() for p in pieces(text))
             else:
-                try:
-                    ids = b"".join(map(known.__getitem__, own))
-                except KeyError:  # the table has begun anew
-                    self.learn(set(own))
-                    ids = b"".join(map(known.__getitem__, own))
+                ids = b"".join(map(known.__getitem__, own))
             found.append(ids + end)
         return found
 
@@ -119,7 +123,7 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[at:]
 
 
-def grouped(texts: pa.Array, size: int = PIECE) -> Iterator[list[str]]:
+def grouped(texts: pa.Array, size: int = GROUP) -> Iterator[list[str]]:
     """Texts (null: empty), some of them at a time."""
     held, length = [], 0
     for text in texts:
@@ -150,16 +154,25 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFr
     return docs.mapInArrow(run, f"id {kind}, ids binary")
 
 
+def documents_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of each document, without a copy."""
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1] // 4
+    ids = np.frombuffer(data, "<u4", count=int(ends[-1]) if len(column) else 0)
+    for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield ids[start:end]
+
+
 def term_counts(tokens: DataFrame) -> tuple[dict[int, int], int, int]:
     """Documents per token id (no more rows than the vocabulary), documents, tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, here, docs, total = np.zeros(1, np.int64), np.zeros(1, bool), 0, 0
         for batch in batches:
-            for ids in batch.column("ids"):
-                ids = np.frombuffer(ids.as_py(), "<u4")
-                if ids.max() >= len(seen):
-                    more = int(ids.max()) + 1 - len(seen)
+            for ids in documents_of(batch.column("ids")):
+                most = int(ids.max())
+                if most >= len(seen):
+                    more = most + 1 - len(seen)
                     seen, here = np.append(seen, np.zeros(more, np.int64)), np.append(here, np.zeros(more, bool))
                 here[ids] = True
                 own = np.flatnonzero(here)

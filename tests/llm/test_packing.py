@@ -7,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from evidmap.llm import packing
+from evidmap.llm.bpe import Merges
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,22 @@ def test_words_are_encoded_like_texts(path):
         assert words.texts([text or ""])[0] == ids_of(tokenizer, text)
 
 
+def test_merges_give_the_ids_of_the_tokenizer(path):
+    """Words of all kinds of signs, merged together, against the library word by word."""
+    rng = np.random.default_rng(7)
+    signs = [chr(c) for c in range(33, 256) if not chr(c).isspace() and c not in (0x27, *range(0x7F, 0xA1))]
+    signs = [c for c in signs if c == c.lower()]
+    letters = list("etaoinshrdlucmfwygpbvk")
+    words = {"".join(rng.choice(letters, rng.integers(1, 20))) for _ in range(4000)}
+    words |= {"".join(rng.choice(signs, rng.integers(1, 12))) for _ in range(2000)}
+    words |= {"".join(rng.choice([*letters, "é", "ü", "ß", "1", ",", "."], rng.integers(1, 30))) for _ in range(2000)}
+    words |= {"aaaaaaa", "the", "x" * 64, "123", "a1b2", "é", "..", "ééé"}
+    words, tokenizer = sorted(words), Tokenizer.from_file(path)
+    found = Merges(path).encode(words)
+    assert [f + np.array([packing.END], "<u4").tobytes() for f in found] == [ids_of(tokenizer, w) for w in words]
+    assert Merges(path).encode([]) == []
+
+
 def test_pieces_of_a_long_text(path, corpus):
     text = next(t for i, t in corpus if i == 306)[:4000] + "\nΣ" + "y" * 400 + " Σ"
     words = packing.WordTokens(path)
@@ -48,7 +65,8 @@ def test_table_of_words_begins_anew(path, monkeypatch):
 def test_round_trip(docs, corpus, path, window, shard_docs):
     rows = packing.pack(docs, path, window=window, shard_docs=shard_docs).collect()
     tokenizer = Tokenizer.from_file(path)
-    want = Counter((i, ids_of(tokenizer, t)) for i, t in corpus)
+    own_ids = {t: ids_of(tokenizer, t) for _, t in corpus}
+    want = Counter((i, own_ids[t]) for i, t in corpus)
     sequences, documents = defaultdict(list), defaultdict(list)
     for r in rows:
         sequences[r.sequence_id].append(r)
@@ -63,8 +81,8 @@ def test_round_trip(docs, corpus, path, window, shard_docs):
     for i, text in corpus:
         if sum(c for (j, _), c in want.items() if j == i) == 1:
             own = sorted(documents[i], key=lambda r: r.start)
-            assert b"".join(r.ids for r in own) == ids_of(tokenizer, text)
-            assert all(r.doc_tokens == len(ids_of(tokenizer, text)) // 4 for r in own)
+            assert b"".join(r.ids for r in own) == own_ids[text]
+            assert all(r.doc_tokens == len(own_ids[text]) // 4 for r in own)
     assert sum(r.length for r in rows) == sum(len(ids) // 4 * n for (_, ids), n in want.items())
 
 
