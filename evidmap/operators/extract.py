@@ -1,18 +1,19 @@
-"""Structured extraction: answers to rows (E1), callers' extractors (E2),
-dictionary tagging (E3), run summary (E4)."""
+"""Structured extraction: answers to rows (E1), callers' extractors (E2), run summary.
+
+Dictionary tagging (E3) is in ``tagging``."""
 
 from __future__ import annotations
 
 import json
-import re
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from dataclasses import dataclass, field
+import time
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidmap.functions.text import blank_to_null
+from evidmap.operators.tagging import NO_SCOPE, TagRules, tag_abstracts  # noqa: F401
 from evidmap.schemas import EFFECT_DIRECTIONS, PAIR, POPULATION, STUDY_DESIGNS
 
 # ---- E1 -----------------------------------------------------------------------
@@ -133,6 +134,7 @@ def apply_extractor(
     extractor: Callable[[str], dict | str] | Callable[[list[tuple[str, str]]], list[dict | str]],
     partitions: int | None = None,
     by_batch: bool = False,
+    pace: float | None = None,
 ) -> DataFrame:
     """One extraction row per (pubmed_id, abstract), from the caller's function.
 
@@ -140,11 +142,18 @@ def apply_extractor(
     ``by_batch`` it gets a list of (pubmed_id, abstract) and gives as many answers. It
     runs on the executors, batch by batch; what it raises becomes the rows' error.
     ``partitions`` says over how many tasks to spread the calls, else they run
-    where the rows are.
+    where the rows are. A task begins its calls ``pace`` seconds apart or more.
     """
     if partitions:
         abstracts = abstracts.repartition(partitions)
 
+    begun = [0.0]  # of the last call of this task
+
+    def wait() -> None:
+        if pace:
+            time.sleep(max(0.0, begun[0] + pace - time.monotonic()))
+            begun[0] = time.monotonic()
+
     def answer(call: Callable[[], dict | str]) -> tuple[str | None, str | None]:
         try:
             given = call()
@@ -153,10 +162,15 @@ def apply_extractor(
         except Exception as error:  # the caller's function may raise anything
             return None, str(error)[:MESSAGE_LENGTH]
 
+    def paced(text: str) -> tuple[str | None, str | None]:
+        wait()
+        return answer(lambda: extractor(text))
+
     def answers_of(rows: list[tuple[str, str]]) -> list[tuple[str | None, str | None]]:
         if not by_batch:
-            return [answer(lambda: extractor(text)) for _, text in rows]
+            return [paced(text) for _, text in rows]
         try:
+            wait()
             given = list(extractor(rows))
             if len(given) != len(rows):
                 raise ValueError(f"{len(given)} answers to {len(rows)} abstracts")
@@ -181,273 +195,6 @@ def apply_extractor(
     return parse_extractions(answers)
 
 
-# ---- E3 -----------------------------------------------------------------------
-
-@dataclass(frozen=True)
-class TagRules:
-    """What the tagger looks for; terms map to the name they are reported under.
-
-    Terms and cues are matched as whole words in lower-case text in which every
-    run of other characters than letters and digits is one blank.
-    """
-
-    # Treatments and outcomes the extraction task names as examples.
-    treatments: dict[str, str] = field(
-        default_factory=lambda: {
-            "dienogest": "dienogest",
-            "gnrh agonist": "GnRH agonist",
-            "gnrh agonists": "GnRH agonist",
-            "laparoscopic surgery": "laparoscopic surgery",
-            "laparoscopy": "laparoscopic surgery",
-            "placebo": "placebo",
-        }
-    )
-    outcomes: dict[str, str] = field(
-        default_factory=lambda: {
-            "dysmenorrhea": "dysmenorrhea",
-            "dysmenorrhea severity": "dysmenorrhea severity",
-            "fertility": "fertility outcomes",
-            "fertility outcomes": "fertility outcomes",
-            "pelvic pain": "pelvic pain",
-            "pelvic pain reduction": "pelvic pain reduction",
-            "pregnancy rate": "pregnancy rate",
-            "recurrence": "recurrence rate",
-            "recurrence rate": "recurrence rate",
-        }
-    )
-    # Cue words of the effect directions.
-    positive: Sequence[str] = ("benefit", "effective", "improved", "reduced", "relieved")
-    negative: Sequence[str] = ("adverse", "harm", "increased risk", "worse", "worsened")
-    neutral: Sequence[str] = (
-        "no difference",
-        "no significant difference",
-        "no significant effect",
-        "not significantly",
-    )
-    # Phrases of the study designs, first design that occurs wins.
-    designs: Sequence[tuple[str, Sequence[str]]] = (
-        ("meta_analysis", ("meta analysis", "metaanalysis")),
-        ("systematic_review", ("systematic review",)),
-        ("randomized_controlled_trial", ("randomized", "randomised", "rct")),
-        ("case_control", ("case control",)),
-        ("cohort_study", ("cohort",)),
-        ("cross_sectional", ("cross sectional",)),
-        ("case_report", ("case report", "case series")),
-        ("narrative_review", ("review",)),
-    )
-    # Words of the study subjects; female words first.
-    female: Sequence[str] = ("women", "woman", "female", "females")
-    male: Sequence[str] = ("men", "man", "male", "males")
-    subjects: Sequence[str] = ("women", "men", "patients", "participants", "subjects")
-
-    def all_words(self) -> Iterator[str]:
-        yield from self.treatments
-        yield from self.outcomes
-        for cues in (self.positive, self.negative, self.neutral, self.female, self.male):
-            yield from cues
-        for _, phrases in self.designs:
-            yield from phrases
-        yield from self.subjects
-
-
-_SENTENCE_END = r"[.!?]+(?:\s+|$)|[\r\n]+"
-
-
-def plain_sentences(text: Column) -> Column:
-    """Lower-case words between single blanks, sentences between line ends."""
-    lines = F.regexp_replace(F.lower(text), _SENTENCE_END, "\n")
-    return F.regexp_replace(lines, r"[^\p{L}\p{N}\n]+", " ")
-
-
-def _between_blanks(text: Column) -> Column:
-    return F.concat(F.lit(" "), text, F.lit(" "))
-
-
-def _words(terms: Iterable[str]) -> str:
-    """Pattern for whole words in text between blanks, longest first.
-
-    The blank behind a match is left for the next one.
-    """
-    return " (" + "|".join(sorted(set(terms), key=lambda t: (-len(t), t))) + ")(?= )"
-
-
-TREATMENT, OUTCOME = 0, 1
-
-
-def _sentences_with_terms(plain: DataFrame, rules: TagRules) -> DataFrame:
-    """(key, tagged): the sentences of a text with terms, each with the distinct names.
-
-    Runs of words meet a table of terms in a join, so a dictionary may have any size;
-    where terms overlap, the first and then the longest one counts.
-    """
-    terms = [
-        (term, kind, name)
-        for kind, names in ((TREATMENT, rules.treatments), (OUTCOME, rules.outcomes))
-        for term, name in names.items()
-    ]
-    dictionary = plain.sparkSession.createDataFrame(terms, "run string, kind int, name string")
-    longest = max((len(term.split(" ")) for term, _, _ in terms), default=0)
-    words = F.split(F.trim("sentence"), " ")
-    sentences = plain.select(
-        "key", F.posexplode_outer(F.split("plain", "\n")).alias("number", "sentence")
-    ).select("key", "number", words.alias("words"))
-
-    def runs(length: int) -> Column:
-        found = F.transform(
-            "words",
-            lambda word, at: F.struct(
-                at.cast("int").alias("at"),
-                F.lit(length).alias("length"),
-                (word if length == 1 else F.array_join(F.slice("words", at + 1, F.lit(length)), " ")).alias("run"),
-            ),
-        )
-        return F.filter(found, lambda r: r["at"] + length <= F.size("words"))
-
-    every = F.concat(*[runs(n) for n in range(1, longest + 1)]) if longest else F.array()
-    if not longest:
-        return plain.select("key", F.array().cast(f"array<{_TAGGED}>").alias("tagged")).limit(0)
-    met = (
-        sentences.select("key", "number", F.explode_outer(every).alias("r"))
-        .select("key", "number", "r.*")
-        .join(dictionary, "run")
-    )
-    # first place, then longest
-    order = F.struct("kind", "at", (-F.col("length")).alias("shorter"), "name")
-    met = met.groupBy("key", "number").agg(F.array_sort(F.collect_set(order)).alias("met"))
-
-    def names(kind: int) -> Column:
-        taken = F.aggregate(
-            F.filter("met", lambda m: m["kind"] == kind),
-            F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("names")),
-            lambda done, m: F.when(
-                m["at"] >= done["end"],
-                F.struct(
-                    (m["at"] - m["shorter"]).alias("end"),
-                    F.array_append(done["names"], m["name"]).alias("names"),
-                ),
-            ).otherwise(done),
-        )
-        return F.array_distinct(taken["names"])
-
-    row = F.struct("number", names(TREATMENT).alias("treatments"), names(OUTCOME).alias("outcomes"))
-    return met.groupBy("key").agg(F.array_sort(F.collect_list(row)).alias("tagged"))
-
-
-_TAGGED = "struct<number:int,treatments:array<string>,outcomes:array<string>>"
-
-
-def _any_of(text: Column, cues: Sequence[str]) -> Column:
-    return text.rlike(_words(cues)) if cues else F.lit(False)
-
-
-def tag_abstracts(abstracts: DataFrame, rules: TagRules | None = None) -> DataFrame:
-    """Extraction rows (no time) found by dictionary, from whole texts.
-
-    Treatments and outcomes of one sentence make the pairs; the cue words of that
-    sentence give the direction: neutral before mixed (both signs) before positive
-    or negative. Rows of equal id and text share their findings.
-    """
-    rules = rules or TagRules()
-    for word in rules.all_words():
-        if " ".join(re.findall(r"[^\W_]+", word.lower())) != word:
-            raise ValueError(f"not in lower-case words between single blanks: {word!r}")
-
-    plain = abstracts.select("pubmed_id", plain_sentences(F.col("abstract")).alias("plain"))
-    plain = plain.withColumn("key", F.xxhash64("pubmed_id", "plain"))
-    found = _sentences_with_terms(plain.select("key", "plain").distinct(), rules)
-    text = _between_blanks(F.regexp_replace("plain", "[ \n]+", " "))
-    tagged = F.transform(
-        F.coalesce("tagged", F.array().cast(f"array<{_TAGGED}>")),
-        lambda s: F.struct(
-            _between_blanks(F.get(F.split("plain", "\n"), s["number"])).alias("text"),
-            s["treatments"].alias("treatments"),
-            s["outcomes"].alias("outcomes"),
-        ),
-    )
-    base = plain.join(found, "key", "left").select(
-        "pubmed_id", text.alias("text"), tagged.alias("tagged")
-    )
-    # cue words are looked for in sentences with a pair only
-    paired = F.filter(
-        "tagged", lambda s: (F.size(s["treatments"]) > 0) & (F.size(s["outcomes"]) > 0)
-    )
-    directed = F.transform(
-        paired,
-        lambda s: F.struct(
-            s["treatments"].alias("treatments"),
-            s["outcomes"].alias("outcomes"),
-            _direction(s["text"], rules).alias("direction"),
-        ),
-    )
-    pairs = F.array_distinct(F.flatten(F.transform(directed, _sentence_pairs)))
-    found = base.select(
-        "pubmed_id",
-        "text",
-        F.array_distinct(F.flatten("tagged.treatments")).alias("treatments"),
-        F.array_distinct(F.flatten("tagged.outcomes")).alias("outcomes"),
-        pairs.alias("treatment_outcomes"),
-    )
-    design = F.coalesce(
-        *[F.when(_any_of(F.col("text"), cues), F.lit(name)) for name, cues in rules.designs],
-        F.lit("unknown"),
-    )
-    sex = F.when(_any_of(F.col("text"), rules.female), F.lit("female")).when(
-        _any_of(F.col("text"), rules.male), F.lit("male")
-    )
-    # a number that no int holds is not a sample size
-    sample = F.regexp_extract("text", rf" (\d+) (?:{'|'.join(rules.subjects)}) ", 1)
-    population = F.struct(
-        sex.alias("sex"),
-        F.lit(None).cast("string").alias("age_group"),
-        F.lit(None).cast("string").alias("disease_stage"),
-        blank_to_null(sample).try_cast("int").alias("sample_size"),
-        F.lit(None).cast("string").alias("special_population"),
-    )
-    # share of the four kinds of findings that are there
-    kinds = [F.size(c) > 0 for c in ("treatments", "outcomes", "treatment_outcomes")]
-    kinds.append(F.col("study_design") != "unknown")
-    confidence = sum((k.cast("int") for k in kinds), F.lit(0)) / F.lit(4.0)
-    return found.select(
-        "*", design.alias("study_design"), population.alias("population")
-    ).select(
-        "pubmed_id",
-        "treatments",
-        "outcomes",
-        "treatment_outcomes",
-        "study_design",
-        "population",
-        confidence.cast("double").alias("extraction_confidence"),
-        F.lit(None).cast("string").alias("extraction_error"),
-    )
-
-
-def _direction(sentence: Column, rules: TagRules) -> Column:
-    good, bad = _any_of(sentence, rules.positive), _any_of(sentence, rules.negative)
-    return (
-        F.when(_any_of(sentence, rules.neutral), "neutral")
-        .when(good & bad, "mixed")
-        .when(good, "positive")
-        .when(bad, "negative")
-        .otherwise("unknown")
-    )
-
-
-def _sentence_pairs(sentence: Column) -> Column:
-    return F.flatten(
-        F.transform(
-            sentence["treatments"],
-            lambda t: F.transform(
-                sentence["outcomes"],
-                lambda o: F.struct(
-                    t.alias("treatment"),
-                    o.alias("outcome"),
-                    sentence["direction"].alias("effect_direction"),
-                ),
-            ),
-        )
-    )
-
-
 # ---- E4 -----------------------------------------------------------------------
 
 

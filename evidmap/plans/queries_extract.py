@@ -199,6 +199,159 @@ def e3(spark, folder):
     return tagged.select("pubmed_id", F.inline(rows))
 
 
+# ---- E3, clause by clause: all terms are single words, so that words can be joined ------
+
+SCOPED_RULES = extract.TagRules(
+    treatments={w: w for w in ("with", "by", "les", "und", "from")},
+    outcomes={w: w for w in ("that", "pour", "nicht", "for", "que", "it")},
+    positive=("is", "de", "den"),
+    negative=("la", "der", "this"),
+    neutral=("une", "than"),
+    rises=("to", "des", "zu"),
+    falls=("in", "le", "die"),
+    wanted=("that", "pour", "que"),
+    unwanted=("nicht", "for"),
+    negators=("a", "et", "von"),
+    breaks=("and", "en", "auf"),
+    designs=(),
+    female=("she", "elle"),
+    male=("he", "il"),
+    subjects=("the", "of", "and"),
+    age_groups={w: w for w in ("was", "el")},
+    stages={w: w for w in ("on", "un")},
+    special_populations={w: w for w in ("are", "mit", "los")},
+)
+
+
+def _in(words) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+_KINDS = {
+    "treatment": SCOPED_RULES.treatments,
+    "outcome": SCOPED_RULES.outcomes,
+    "good": SCOPED_RULES.positive,
+    "bad": SCOPED_RULES.negative,
+    "neutral": SCOPED_RULES.neutral,
+    "rise": SCOPED_RULES.rises,
+    "fall": SCOPED_RULES.falls,
+    "negator": SCOPED_RULES.negators,
+    "break": SCOPED_RULES.breaks,
+    "age_group": SCOPED_RULES.age_groups,
+    "disease_stage": SCOPED_RULES.stages,
+    "special_population": SCOPED_RULES.special_populations,
+}
+_SCOPED = r"""
+, sentences AS (
+  SELECT pubmed_id, s, generate_subscripts(parts, 1) AS number, unnest(parts) AS line
+  FROM (SELECT pubmed_id, abstract AS s, regexp_split_to_array(lower(abstract), '[.!?]+(?:[\t-\r ]+|$)|[\r\n]+') AS parts
+    FROM doc_articles WHERE abstract IS NOT NULL)),
+words AS (
+  SELECT pubmed_id, number, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+  FROM (SELECT pubmed_id, number, regexp_extract_all(line, '[\p{L}\p{N}]+') AS w FROM sentences)),
+meaning(word, kind) AS (VALUES <MEANING>),
+tokens AS (
+  SELECT *, count(*) FILTER (kind = 'break') OVER (PARTITION BY pubmed_id, number ORDER BY pos) AS clause
+  FROM words JOIN meaning USING (word)),
+negators AS (
+  SELECT *, pos - max(pos) FILTER (kind = 'negator') OVER (
+    PARTITION BY pubmed_id, number, clause ORDER BY pos) - 1 < <SCOPE> AS negated
+  FROM tokens),
+told AS (
+  SELECT *, kind = 'outcome' AS is_outcome,
+    lag(kind = 'outcome') OVER clause_order AS was_outcome,
+    first_value(kind = 'outcome') OVER clause_order AS follow
+  FROM negators WHERE kind IN ('outcome', 'good', 'bad', 'rise', 'fall', 'neutral')
+  WINDOW clause_order AS (PARTITION BY pubmed_id, number, clause ORDER BY pos)),
+grouped AS (
+  SELECT *, count(*) FILTER (was_outcome IS NOT NULL AND was_outcome <> is_outcome AND is_outcome = follow) OVER (
+    PARTITION BY pubmed_id, number, clause ORDER BY pos) AS part
+  FROM told),
+owned AS (
+  SELECT *, CASE
+    WHEN follow AND is_outcome AND NOT bool_or(NOT is_outcome) OVER same_part THEN part - 1
+    WHEN NOT follow AND NOT is_outcome AND NOT bool_or(is_outcome) OVER same_part THEN part - 1
+    ELSE part END AS own
+  FROM grouped
+  WINDOW same_part AS (PARTITION BY pubmed_id, number, clause, part)),
+effects AS (
+  SELECT o.pubmed_id, o.number, o.clause, o.pos, o.word AS outcome,
+    CASE WHEN c.kind IS NULL THEN NULL
+      WHEN c.kind = 'neutral' OR c.negated THEN 0
+      WHEN c.kind = 'good' THEN 1 WHEN c.kind = 'bad' THEN -1
+      WHEN o.word IN (<WANTED>) THEN CASE c.kind WHEN 'rise' THEN 1 ELSE -1 END
+      WHEN o.word IN (<UNWANTED>) THEN CASE c.kind WHEN 'rise' THEN -1 ELSE 1 END END AS effect
+  FROM owned o LEFT JOIN (SELECT * FROM owned WHERE NOT is_outcome) c
+    ON o.pubmed_id = c.pubmed_id AND o.number = c.number AND o.clause = c.clause AND o.own = c.own
+  WHERE o.is_outcome),
+directions AS (
+  SELECT pubmed_id, number, clause, pos, outcome,
+    CASE WHEN bool_or(effect = 0) THEN 'neutral'
+      WHEN bool_or(effect = 1) AND bool_or(effect = -1) THEN 'mixed'
+      WHEN bool_or(effect = 1) THEN 'positive' WHEN bool_or(effect = -1) THEN 'negative'
+      ELSE 'unknown' END AS direction
+  FROM effects GROUP BY ALL),
+treated AS (SELECT DISTINCT pubmed_id, number, clause, word AS treatment FROM tokens WHERE kind = 'treatment'),
+sources AS (
+  SELECT d.*, (SELECT max(clause) FROM treated t
+    WHERE t.pubmed_id = d.pubmed_id AND t.number = d.number AND t.clause <= d.clause) AS source
+  FROM directions d),
+pairs AS (
+  SELECT s.pubmed_id, t.treatment, s.outcome,
+    CASE count(DISTINCT direction) FILTER (direction <> 'unknown') WHEN 0 THEN 'unknown'
+      WHEN 1 THEN min(direction) FILTER (direction <> 'unknown') ELSE 'mixed' END AS direction
+  FROM sources s JOIN treated t ON s.pubmed_id = t.pubmed_id AND s.number = t.number
+    AND (t.clause = s.source OR s.source IS NULL)
+  GROUP BY ALL),
+fields AS (
+  SELECT pubmed_id, kind, arg_min(word, number * 1000000 + pos) AS word
+  FROM tokens WHERE kind IN ('age_group', 'disease_stage', 'special_population') GROUP BY ALL),
+texts AS (
+  SELECT pubmed_id, '  ' || trim(regexp_replace(lower(abstract), '[^\p{L}\p{N}]+', '  ', 'g')) || '  ' AS t
+  FROM doc_articles WHERE abstract IS NOT NULL)
+SELECT DISTINCT pubmed_id, kind, word AS a, '' AS b, '' AS c FROM tokens WHERE kind IN ('treatment', 'outcome')
+UNION ALL SELECT pubmed_id, 'pair', treatment, outcome, direction FROM pairs
+UNION ALL SELECT pubmed_id, kind, word, '', '' FROM fields
+UNION ALL SELECT pubmed_id, 'sex', CASE WHEN regexp_matches(t, ' (?:<FEMALE>) ') THEN 'female' ELSE 'male' END, '', ''
+  FROM texts WHERE regexp_matches(t, ' (?:<FEMALE>|<MALE>) ')
+UNION ALL SELECT pubmed_id, 'sample_size',
+  CAST(CAST(regexp_extract(t, ' (\d{1,9})  (?:<SUBJECTS>) ', 1) AS INTEGER) AS VARCHAR), '', ''
+  FROM texts WHERE regexp_matches(t, ' (\d{1,9})  (?:<SUBJECTS>) ')"""
+for _name, _value in {
+    "MEANING": ", ".join(f"('{w}', '{kind}')" for kind, words in _KINDS.items() for w in words),
+    "SCOPE": str(SCOPED_RULES.scope),
+    "WANTED": _in(SCOPED_RULES.wanted),
+    "UNWANTED": _in(SCOPED_RULES.unwanted),
+    "FEMALE": "|".join(SCOPED_RULES.female),
+    "MALE": "|".join(SCOPED_RULES.male),
+    "SUBJECTS": "|".join(SCOPED_RULES.subjects),
+}.items():
+    _SCOPED = _SCOPED.replace(f"<{_name}>", _value)
+
+
+@query("e3_scoped_tags", with_tables("doc_articles", _SCOPED))
+def e3_scoped(spark, folder):
+    """Findings with the effect read clause by clause, and all fields of the population."""
+    abstracts = testdata.doc_articles(spark, folder).where(F.col("abstract").isNotNull())
+    tagged = extract.tag_abstracts(abstracts, SCOPED_RULES)
+
+    def finding(kind, a, b=F.lit(""), c=F.lit("")):
+        return F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"), c.alias("c"))
+
+    names = ("sex", "age_group", "disease_stage", "sample_size", "special_population")
+    fields = F.array(*[finding(n, F.col(f"population.{n}").cast("string")) for n in names])
+    rows = F.concat(
+        F.transform("treatments", lambda t: finding("treatment", t)),
+        F.transform("outcomes", lambda t: finding("outcome", t)),
+        F.transform(
+            "treatment_outcomes",
+            lambda p: finding("pair", p["treatment"], p["outcome"], p["effect_direction"]),
+        ),
+        F.filter(fields, lambda f: f["a"].isNotNull()),
+    )
+    return tagged.select("pubmed_id", F.inline(rows))
+
+
 @query(
     "e4_extraction_summary",
     with_tables(

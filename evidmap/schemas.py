@@ -36,11 +36,12 @@ ARTICLE = (
     "source_file string, language string, publication_types array<string>, "
     "ingestion_ts timestamp"
 )
-EXTRACTION = (
-    "pubmed_id string, treatments array<string>, outcomes array<string>, "
+EXTRACTED = (
+    "treatments array<string>, outcomes array<string>, "
     f"treatment_outcomes array<{PAIR}>, study_design string, population {POPULATION}, "
-    "extraction_confidence double, extraction_error string, extracted_ts timestamp"
+    "extraction_confidence double"
 )
+EXTRACTION = f"pubmed_id string, {EXTRACTED}, extraction_error string, extracted_ts timestamp"
 FILE_REPORT = (
     "file_name string, total_parsed bigint, filtered bigint, inserted bigint, status string"
 )
