@@ -197,6 +197,11 @@ def funding_landscape(grants: DataFrame, articles: DataFrame) -> DataFrame:
     The country is that of the first grant that has one, in the order of
     (pubmed_id, grant_no). Grants are folded per article before the join.
     """
+    return funding_of_parts(funding_parts(grants, articles))
+
+
+def funding_parts(grants: DataFrame, articles: DataFrame) -> DataFrame:
+    """What A6 knows of each agency; parts of different articles can be folded."""
     agency = strip(F.col("agency"))
     country = strip(F.col("country"))
     named = grants.select(
@@ -209,21 +214,33 @@ def funding_landscape(grants: DataFrame, articles: DataFrame) -> DataFrame:
         # a country of blanks only is shown as such when no better one follows
         F.max((F.col("country") != "") & (F.col("place") == "")).alias("blank_country"),
     )
-    first_place = F.min_by("place", F.when(F.col("place").isNotNull(), F.col("pubmed_id")))
+    first = F.min(F.when(F.col("place").isNotNull(), F.struct("pubmed_id", "place")))
     return (
         per_article.join(_article_years(articles), "pubmed_id")
         .groupBy("agency")
         .agg(
             F.sum("grant_rows").alias("article_count"),
             F.count("*").alias("distinct_article_count"),
-            F.coalesce(first_place, F.when(F.max("blank_country"), F.lit(""))).alias("country"),
+            first.alias("first"),
+            F.max("blank_country").alias("blank_country"),
             F.min("year").alias("earliest_year"),
             F.max("year").alias("latest_year"),
         )
-        .orderBy(F.desc("article_count"), "agency")
     )
 
 
+def funding_of_parts(parts: DataFrame) -> DataFrame:
+    country = F.coalesce("first.place", F.when(F.col("blank_country"), F.lit("")))
+    return parts.select(
+        "agency",
+        "article_count",
+        "distinct_article_count",
+        country.alias("country"),
+        "earliest_year",
+        "latest_year",
+    ).orderBy(F.desc("article_count"), "agency")
+
+
 # Dimensions reported by default. ``disease_severity`` is no field
 # of the stored population, so it stays empty unless a table brings it along.
 POPULATION_DIMENSIONS = ("age_group", "sex", "disease_severity")

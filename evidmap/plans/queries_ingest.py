@@ -390,6 +390,7 @@ WORD_RULES = extract.TagRules(
     female=("she", "elle"),
     male=("he", "il"),
     subjects=("the", "of", "and"),
+    **extract.NO_SCOPE,
 )
 
 

@@ -15,19 +15,14 @@ from evidmap.sources import landing, testdata
 _KEPT = "WHERE has_id AND well_formed"
 
 
-@query(
-    "s1_record_scan",
-    with_tables(
-        "doc_fields",
-        f"""SELECT source_file, pubmed_id, title, abstract, journal,
+_FIELDS = """SELECT source_file, pubmed_id, title, abstract, journal,
   strftime(pub_date, '%Y-%m-%d') AS pub_date, lang AS language,
   array_to_string(mesh_terms, '|') AS mesh_terms, 'Journal Article|' || source AS publication_types,
   CAST(2 AS INTEGER) AS authors, CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS grants
-FROM doc_fields {_KEPT}""",
-    ),
-)
-def s1(spark, folder):
-    articles = landing.scan_articles(spark, testdata.landed_documents(spark, folder))
+FROM doc_fields """
+
+
+def _fields(articles):
     return articles.select(
         "source_file",
         "pubmed_id",
@@ -43,6 +38,18 @@ def s1(spark, folder):
     )
 
 
+@query("s1_record_scan", with_tables("doc_fields", _FIELDS + _KEPT))
+def s1(spark, folder):
+    return _fields(landing.scan_articles(spark, testdata.landed_documents(spark, folder)))
+
+
+@query("s1_recovered_records", with_tables("doc_fields", _FIELDS + "WHERE has_id"))
+def s1_recovered(spark, folder):
+    """All records: those with an element that is never closed come back with their fields."""
+    scanned = landing.scan_records(spark, testdata.landed_documents(spark, folder))
+    return _fields(landing.parse_records(scanned, recover=True))
+
+
 @query(
     "s1_quarantine",
     with_tables(
