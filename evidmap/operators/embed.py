@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from evidmap.operators import density, neighbours
 from evidmap.runtime import cut_lineage
 
 NOISE = -1
@@ -60,6 +61,29 @@ def cluster_embeddings(
     return density_clusters(project(embeddings), radius, min_points, min_cluster_size)
 
 
+def density_tree(
+    points: DataFrame, k: int = 30, min_points: int = 10, min_cluster_size: int = 10
+) -> DataFrame:
+    """M2, second half: (pubmed_id, x, y, cluster), clusters of (pubmed_id, x, y) that may differ
+    in density, from the hierarchy over the ``k`` nearest neighbours; -1 is noise."""
+    vectors = points.select(F.col("pubmed_id").alias("id"), F.array("x", "y").alias("vector"))
+    graph = neighbours.neighbour_graph(vectors, k=k)
+    clusters = density.density_tree_clusters(graph, min_points, min_cluster_size)
+    found = points.select("pubmed_id", "x", "y").join(clusters.withColumnRenamed("id", "pubmed_id"), "pubmed_id", "left")
+    return found.withColumn("cluster", F.coalesce("cluster", F.lit(NOISE).cast("bigint")))
+
+
+def map_embeddings(
+    embeddings: DataFrame, k: int = 30, min_points: int = 10, min_cluster_size: int = 10
+) -> DataFrame:
+    """M2: (pubmed_id, x, y, cluster) of (pubmed_id, embedding): a layout in which neighbours are
+    side by side, and its clusters of whatever density."""
+    vectors = embeddings.select(F.col("pubmed_id").alias("id"), F.col("embedding").alias("vector"))
+    graph = neighbours.neighbour_graph(vectors, k=k)
+    layout = cut_lineage(neighbours.spectral_layout(graph).withColumnRenamed("id", "pubmed_id"))
+    return density_tree(layout, k, min_points, min_cluster_size)
+
+
 def density_clusters(
     points: DataFrame, radius: float, min_points: int = 10, min_cluster_size: int = 10
 ) -> DataFrame:

@@ -27,6 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load() -> None:
     """Import every module that registers queries."""
     from evidmap.plans import (  # noqa: F401
+        queries_clusters,
         queries_evidence,
         queries_extract,
         queries_graph,
