@@ -17,14 +17,19 @@ Edges of equal weight are taken in the order of their ends, so every result is s
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evidmap.runtime import cut_lineage
+from evidmap.runtime import stored
 
 NOISE = -1
 LEAST_WEIGHT = 1e-12  # of equal points, whose inverse has no bound
+# Edges between the components of a round that one task takes to the end.
+ONE_TASK = 200_000
 
 
 def core_distances(graph: DataFrame, min_points: int) -> DataFrame:
@@ -74,30 +79,62 @@ def _relabelled(edges: DataFrame, moved: DataFrame) -> DataFrame:
 
 def _last_of_way(hooks: DataFrame) -> DataFrame:
     """(part, to): where the ways of ``hooks`` (part, to) end; an end points to itself or has no
-    row. Each round doubles the known way."""
-    ways = cut_lineage(hooks.select("part", "to"))
-    while True:
+    row. Each step doubles the known way; two of them are one job."""
+    ways = hooks.select("part", "to")
+
+    def doubled(ways: DataFrame) -> DataFrame:
         ahead = ways.select(F.col("part").alias("to"), F.col("to").alias("further"))
-        longer = ways.join(ahead, "to", "left").select(
+        return ways.join(ahead, "to", "left").select(
             "part", F.coalesce("further", "to").alias("to"), (F.col("further") != F.col("to")).alias("moved")
         )
-        longer = cut_lineage(longer)
+
+    while True:
+        longer = stored(doubled(doubled(ways).drop("moved")))
         ways = longer.select("part", "to")
         if longer.where("moved").isEmpty():
             return ways
 
 
-def spanning_forest(edges: DataFrame) -> DataFrame:
+def _rest_of_forest(edges: DataFrame) -> DataFrame:
+    """The edges that join components, taken one by one in their order, in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict = {}
+
+        def find(part):
+            while part in up:
+                up[part] = part = up.get(up[part], up[part])
+            return part
+
+        for batch in batches:
+            taken = []
+            for at, (a, b) in enumerate(zip(batch.column("part_a").to_pylist(), batch.column("part_b").to_pylist())):
+                a, b = find(a), find(b)
+                if a != b:
+                    up[a] = b
+                    taken.append(at)
+            key = batch.column("key").take(pa.array(taken, pa.int64()))
+            yield pa.RecordBatch.from_arrays([key], ["key"])
+
+    schema = edges.select("key").schema
+    return edges.repartition(1).sortWithinPartitions("key").mapInArrow(run, schema).select("key.*")
+
+
+def spanning_forest(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """The minimum spanning forest of ``edges`` (a, b, weight), by Boruvka rounds.
 
     In a round every component takes its first edge; edges between the same two components
-    are folded to the first of them.
+    are folded to the first of them. When no more than ``one_task`` edges are left, one task
+    takes them in their order: the forest is the same.
     """
     schema = edges.select("a", "b", "weight").schema
-    open_ = cut_lineage(edges.select(F.col("a").alias("part_a"), F.col("b").alias("part_b"), _key()))
+    open_ = stored(edges.select(F.col("a").alias("part_a"), F.col("b").alias("part_b"), _key()))
     chosen = []
-    while not open_.isEmpty():
-        nearest = cut_lineage(_nearest(open_))
+    while True:
+        if open_.limit(one_task + 1).count() <= one_task:
+            chosen.append(_rest_of_forest(open_))
+            break
+        nearest = stored(_nearest(open_))
         chosen.append(nearest.select("key").distinct().select("key.*"))
         # two components that take the same edge: the lesser one is the end of the way
         back = nearest.select(F.col("part").alias("other"), F.col("key").alias("back"))
@@ -110,7 +147,7 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
         left = _relabelled(open_, _last_of_way(hooks))
         pair = (F.least("part_a", "part_b"), F.greatest("part_a", "part_b"))
         left = left.groupBy(pair[0].alias("p"), pair[1].alias("q")).agg(F.min("key").alias("key"))
-        open_ = cut_lineage(left.select(F.col("p").alias("part_a"), F.col("q").alias("part_b"), "key"))
+        open_ = stored(left.select(F.col("p").alias("part_a"), F.col("q").alias("part_b"), "key"))
     forest = edges.sparkSession.createDataFrame([], schema)
     for some in chosen:
         forest = forest.unionByName(some.select("a", "b", "weight"))
@@ -135,14 +172,14 @@ def _grown(points: DataFrame, forest: DataFrame, least: int) -> tuple[DataFrame,
     points = points.select("id", F.col("id").alias("part"), none.alias("key"))
     parts = points.groupBy("part").agg(F.count("*").alias("size")).withColumn("key", none)
     edges = forest.select(F.col("a").alias("part_a"), F.col("b").alias("part_b"), _key())
-    parts, edges = cut_lineage(parts), cut_lineage(edges)
+    parts, edges = stored(parts), stored(edges)
     while True:
         small = parts.where(F.col("size") < least).select("part", "size")
-        nearest = cut_lineage(_nearest(edges).join(small, "part"))
+        nearest = stored(_nearest(edges).join(small, "part"))
         if nearest.isEmpty():
             break
         # a way of nearest edges ends at a cluster or at two small ones that are mutual
-        mutual = cut_lineage(_mutual(nearest.select("part", "other", "key")))
+        mutual = _mutual(nearest.select("part", "other", "key"))
         ends = mutual.select("part", F.col("part").alias("to"))
         paired = mutual.select(F.col("other").alias("part"), F.col("part").alias("to"))
         hooks = ends.unionByName(paired).unionByName(
@@ -151,12 +188,12 @@ def _grown(points: DataFrame, forest: DataFrame, least: int) -> tuple[DataFrame,
         large = parts.where(F.col("size") >= least).select(F.col("part").alias("to"))
         fallen = _last_of_way(hooks).join(large, "to").join(nearest.select("part", "key"), "part")
         joined = mutual.select(F.explode(F.array("part", "other")).alias("part"), F.col("part").alias("to"), "key")
-        moved = cut_lineage(
+        moved = stored(
             fallen.select("part", "to", "key", F.lit(True).alias("falls")).unionByName(
                 joined.select("part", "to", "key", F.lit(False).alias("falls"))
             )
         )
-        points = cut_lineage(
+        points = stored(
             points.join(moved.withColumnRenamed("key", "by"), "part", "left").select(
                 "id", F.coalesce("to", "part").alias("part"), F.coalesce("key", F.when(F.col("falls"), F.col("by"))).alias("key")
             )
@@ -164,15 +201,15 @@ def _grown(points: DataFrame, forest: DataFrame, least: int) -> tuple[DataFrame,
         # a cluster keeps the size and edge of its beginning; what falls to it is an event
         merged = moved.where("NOT falls").join(small, "part").groupBy(F.col("to").alias("part"))
         merged = merged.agg(F.sum("size").alias("size"), F.first("key").alias("key"))
-        parts = cut_lineage(
+        parts = stored(
             parts.join(moved.select("part"), "part", "left_anti").unionByName(merged.select("part", "size", "key"))
         )
-        edges = cut_lineage(_relabelled(edges, moved.select("part", "to")))
+        edges = stored(_relabelled(edges, moved.select("part", "to")))
     clusters = parts.where(F.col("size") >= least)
     # points of a cluster's beginning leave it at its first edge
     begun = clusters.select("part", F.col("key").alias("begin"))
     points = points.join(begun, "part", "left").select("id", "part", F.coalesce("key", "begin").alias("key"))
-    return cut_lineage(points), cut_lineage(clusters), edges
+    return stored(points), stored(clusters), edges
 
 
 def _inverse(key: str) -> Column:
@@ -194,7 +231,7 @@ def condensed_tree(
         raise ValueError("a cluster has two points or more")
     placed, clusters, edges = _grown(points, forest, min_cluster_size)
     begun = clusters.select("part", F.lit(True).alias("begun"))
-    placed = cut_lineage(
+    placed = stored(
         placed.join(begun, "part", "left").select(
             "id", F.when(F.col("begun"), F.col("part")).alias("part"), F.when(F.col("begun"), F.col("key")).alias("key")
         )
@@ -204,7 +241,7 @@ def condensed_tree(
     events = placed.join(clusters.select("part", F.col("key").alias("begin")), "part").where(
         F.col("key") != F.col("begin")
     )
-    events = cut_lineage(
+    events = stored(
         events.groupBy("part", "key").agg(F.count("*").alias("n"))
     )
     open_ = clusters.select(
@@ -231,16 +268,16 @@ def condensed_tree(
 
     while not edges.isEmpty():
         number += 1
-        pairs = cut_lineage(_mutual(_nearest(edges)))
+        pairs = _mutual(_nearest(edges))
         moved = pairs.select(
             F.explode(F.array("part", "other")).alias("part"),
             F.col("part").alias("to"),
             F.col("key").alias("until"),
         )
-        moved = cut_lineage(moved)
+        moved = stored(moved)
         fell = events.join(moved, "part").where(F.col("key") < F.col("until"))
         joining = closed(open_.join(moved, "part"), fell.select("part", "key", "n"), _inverse("until"))
-        joining = cut_lineage(
+        joining = stored(
             joining.withColumn("parent", F.struct(F.lit(number).alias("round"), F.col("to").alias("part")))
         )
         settled.append(joining.select("node", "parent", "until", "size", "stability", "chosen"))
@@ -248,11 +285,11 @@ def condensed_tree(
             F.sum("size").alias("size"), F.sum("best").alias("within")
         )
         merged = merged.select("part", "node", "size", (F.col("size") * _inverse("until")).alias("mass"), "within")
-        open_ = cut_lineage(open_.join(moved, "part", "left_anti").unionByName(merged))
+        open_ = stored(open_.join(moved, "part", "left_anti").unionByName(merged))
         rest = events.join(moved, "part", "left").where("until IS NULL OR key > until")
         rest = rest.select(F.coalesce("to", "part").alias("part"), "key", "n")
-        events = cut_lineage(rest.groupBy("part", "key").agg(F.sum("n").alias("n")))
-        edges = cut_lineage(_relabelled(edges, moved.select("part", "to")))
+        events = stored(rest.groupBy("part", "key").agg(F.sum("n").alias("n")))
+        edges = stored(_relabelled(edges, moved.select("part", "to")))
     last = closed(open_, events, F.lit(0.0))
     if one_tree:  # the whole is no cluster
         last = last.withColumn("chosen", F.lit(False))
@@ -266,16 +303,16 @@ def condensed_tree(
     )
     for some in settled:
         tree = tree.unionByName(some)
-    return cut_lineage(tree.withColumn("size", F.col("size").cast("bigint"))), placed
+    return stored(tree.withColumn("size", F.col("size").cast("bigint"))), placed
 
 
 def _outermost(tree: DataFrame) -> DataFrame:
     """(node, top, until): the outermost chosen cluster a node lies in, itself included."""
     own = F.when(F.col("chosen"), F.struct("node", "until"))
-    ways = cut_lineage(tree.select("node", F.col("parent").alias("up"), own.alias("top")))
+    ways = stored(tree.select("node", F.col("parent").alias("up"), own.alias("top")))
     while not ways.where("up IS NOT NULL").isEmpty():
         ahead = ways.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("top").alias("above"))
-        ways = cut_lineage(
+        ways = stored(
             ways.join(ahead, "up", "left").select("node", F.col("next").alias("up"), F.coalesce("above", "top").alias("top"))
         )
     return ways.where("top IS NOT NULL").select("node", F.col("top.node").alias("top"), "top.until")
@@ -291,7 +328,7 @@ def density_tree_clusters(
     their own.
     """
     points = graph.select("id")
-    forest = cut_lineage(spanning_forest(mutual_reachability(graph, min_points)))
+    forest = stored(spanning_forest(mutual_reachability(graph, min_points)))
     tree, placed = condensed_tree(points, forest, min_cluster_size)
     top = _outermost(tree).where(F.col("node.round") == 0)
     top = top.select(F.col("node.part").alias("part"), "top", "until")

@@ -15,18 +15,18 @@ def a1(spark, folder):
     return evidence.treatment_outcome_matrix(testdata.line_extractions(spark, folder))
 
 
-@query(
-    "a2_publication_trends",
-    with_tables(
-        "articles extractions",
-        """SELECT CAST(year(pub_date) AS INTEGER) AS year, count(*) AS article_count,
+PUBLICATION_TRENDS = with_tables(
+    "articles extractions",
+    """SELECT CAST(year(pub_date) AS INTEGER) AS year, count(*) AS article_count,
   count(*) FILTER (WHERE study_design = 'randomized_controlled_trial') AS rct_count,
   count(*) FILTER (WHERE study_design IN ('systematic_review', 'meta_analysis',
     'narrative_review')) AS review_count,
   count(*) FILTER (WHERE study_design = 'case_report') AS case_report_count
 FROM articles LEFT JOIN extractions USING (pubmed_id) WHERE pub_date IS NOT NULL GROUP BY 1""",
-    ),
 )
+
+
+@query("a2_publication_trends", PUBLICATION_TRENDS)
 def a2(spark, folder):
     return evidence.publication_trends(
         testdata.articles(spark, folder), testdata.extractions(spark, folder)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from evidmap.functions.files import file_name_of, file_number_of
 from evidmap.operators import evidence, extract, ingest
 from evidmap.operators.graph import graph_links
-from evidmap.plans import jobs, registry
+from evidmap.plans import jobs, refresh, registry
 from evidmap.plans.catalog import query
 from evidmap.plans.oracle import with_tables
+from evidmap.plans.queries_evidence import PUBLICATION_TRENDS
 from evidmap.plans.queries_evidence import a1
 from evidmap.runtime import new_folder
 from evidmap.sources import testdata
@@ -466,6 +467,24 @@ def b2(spark, folder):
     return rows
 
 
+@query("b2_refreshed_trends", PUBLICATION_TRENDS)
+def b2_refreshed(spark, folder):
+    """Trends brought up to date batch by batch; the last one replaces extractions of the others."""
+    store = Store(spark, new_folder(spark, "refresh"))
+    articles = testdata.articles(spark, folder)
+    extractions = testdata.extractions(spark, folder)
+    key = F.pmod(F.xxhash64("pubmed_id"), F.lit(2))
+    for number in (0, 1):
+        batch = f"part-{number}"
+        first = extractions.where(key == number).withColumn("study_design", F.lit("case_report"))
+        store.write("articles", batch, articles.where(key == number))
+        store.write("extractions", batch, first.withColumn("extracted_ts", F.lit("2026-01-01").cast("timestamp")))
+        refresh.refresh(store)
+    store.write("extractions", "last", extractions.withColumn("extracted_ts", F.lit("2026-01-02").cast("timestamp")))
+    refresh.refresh(store)
+    return refresh.results(store)["publication_trend_analysis"]
+
+
 @query(
     "b2_saved_graph_links",
     with_tables("links", "SELECT source, target, effect_direction FROM links"),

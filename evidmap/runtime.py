@@ -41,6 +41,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def stored(df: DataFrame, label: str = "step") -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, and what follows
+    outlives executors."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Parquet folder, or an empty frame of ``schema`` when it is not there yet."""
     try:

@@ -114,7 +114,7 @@ def graph_of(spark, lists):
     return spark.createDataFrame(rows, "id bigint, neighbours array<struct<distance:double,other:bigint>>").repartition(4)
 
 
-@pytest.mark.parametrize(("seed", "k", "least"), [(1, 12, 8), (2, 30, 10), (3, 136, 5)])
+@pytest.mark.parametrize(("seed", "k", "least"), [(1, 12, 8), (3, 136, 5)])
 def test_clusters_of_varying_density(spark, seed, k, least):
     points = planted(seed)
     lists = lists_by_loop(points, k)
@@ -141,8 +141,10 @@ def test_long_ways_of_small_components(spark):
     points = {p: (1.1**p, 0.0) for p in range(60)}
     lists = lists_by_loop(points, 4)
     edges = edges_by_loop(lists, 1)
-    forest = density.spanning_forest(density.mutual_reachability(graph_of(spark, lists), 1))
-    assert sorted((r.weight, r.a, r.b) for r in forest.collect()) == forest_by_loop(points, edges)
+    weighted = density.mutual_reachability(graph_of(spark, lists), 1)
+    for one_task in (0, 10, 10**6):
+        forest = density.spanning_forest(weighted, one_task)
+        assert sorted((r.weight, r.a, r.b) for r in forest.collect()) == forest_by_loop(points, edges)
     found = density.density_tree_clusters(graph_of(spark, lists), 1, 4).collect()
     assert {r.id: r.cluster for r in found} == clusters_by_loop(points, edges, 4)
 
