@@ -37,32 +37,44 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evidmap.llm.buckets import group_starts, map_groups
+from evidmap.llm.buckets import map_groups
 from evidmap.llm.catalog import query
-from evidmap.llm.tables import table, written
-from evidmap.llm.words import hashed_texts, rolled
+from evidmap.llm.tables import table
+from evidmap.llm.words import hashed_texts, rolled, word_count
+from evidmap.runtime import new_folder, remove_folder
 
 WINDOW = 20
 ANCHOR = 8
 PIECE_WORDS = 1 << 20
 BLOCK = 64  # of the places of a path: cuts are looked up by block
-WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def _step(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written; its shuffle files go at once, as nothing reads them again."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
-    try:
-        return written(df, f"words-{label}")
-    finally:
-        conf.set(CLEANUP, before)
+class Steps:
+    """Written tables of one run, by label. Shuffle files of a step go with it, as nothing reads
+    them again; a table goes when no further step reads it."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        conf, path = self.spark.conf, new_folder(self.spark, f"words-{label}")
+        before = conf.get(CLEANUP, "false")
+        conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            conf.set(CLEANUP, before)
+        self.paths.setdefault(label, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self, *labels: str) -> None:
+        for path in (p for label in labels for p in self.paths.pop(label, ())):
+            remove_folder(self.spark, path)
 
 
 # ---- runs of windows with one anchor -------------------------------------------
@@ -217,14 +229,14 @@ def _chained(edges: DataFrame) -> DataFrame:
     )
 
 
-def resolved(links: DataFrame) -> DataFrame:
+def resolved(links: DataFrame, step: Steps) -> DataFrame:
     """(id, root, steps): first chain of the path of every chain, and the edges up to it.
 
     ``links`` (id, up, steps): the chain before (null: none) and its edges; no two chains have the
     same one before. A round joins every chain with the one it points to, so the way known doubles.
     Chains still open after as many rounds as doublings reach lie on rings.
     """
-    links = _step(links, "links")
+    links = step(links, "links")
     done: list[DataFrame] = [
         links.where("up IS NULL").select("id", F.col("id").alias("root"), F.lit(0).cast("bigint").alias("steps"))
     ]
@@ -241,7 +253,7 @@ def resolved(links: DataFrame) -> DataFrame:
             F.col("id").alias("root"), F.col("root").alias("to"), F.col("steps").alias("more"),
             F.col("least").alias("far"), F.lit(False).alias("found"),
         )
-        open_ = _step(
+        open_ = step(
             open_.join(ends.unionByName(ways), "root").select(
                 "id", F.col("to").alias("root"), (F.col("steps") + F.col("more")).alias("steps"),
                 F.least("least", "far").alias("least"), "found",
@@ -256,11 +268,11 @@ def resolved(links: DataFrame) -> DataFrame:
         # rings: the least chain of each becomes its first one
         ring = links.join(open_.select("id", "least"), "id")
         opened = ring.select("id", F.when(F.col("id") != F.col("least"), F.col("up")).alias("up"), "steps")
-        done.append(resolved(opened))
+        done.append(resolved(opened, step))
     return reduce(DataFrame.unionByName, done)
 
 
-def compacted(edges: DataFrame) -> DataFrame:
+def compacted(edges: DataFrame, step: Steps) -> DataFrame:
     """(left, right, path, offset) of the distinct ``edges`` (left, right, number, at).
 
     ``path``: place of the first edge of the longest path without branches through the edge.
@@ -269,7 +281,7 @@ def compacted(edges: DataFrame) -> DataFrame:
     into = edges.groupBy(F.col("right").alias("left")).agg(F.count("*").alias("n"), F.min(place).alias("before"))
     out = edges.groupBy("left").agg(F.count("*").alias("m"))
     inner = into.where("n = 1").join(out.where("m = 1"), "left").select("left", "before")
-    chained = _step(_chained(edges.join(inner, "left", "left")), "chained")
+    chained = step(_chained(edges.join(inner, "left", "left")), "chained")
     chain = F.struct("number", F.col("chain").alias("at"))
     chains = chained.where("at = chain").select(chain.alias("id"), "before")
     # the edge before the first one of a chain is the last one of its own
@@ -279,7 +291,7 @@ def compacted(edges: DataFrame) -> DataFrame:
         F.when(F.col("up") != F.col("id"), F.col("up")).alias("up"),  # a ring of one chain
         F.coalesce("steps", F.lit(0)).alias("steps"),
     )
-    ways = resolved(links)
+    ways = resolved(links, step)
     return (
         chained.withColumn("id", chain)
         .join(ways, "id")
@@ -328,12 +340,13 @@ def spans(runs: DataFrame) -> DataFrame:
     return dealt.select("number", "at", "windows").mapInArrow(run, SPAN)
 
 
-def pieces(stretches: DataFrame) -> DataFrame:
+def pieces(stretches: DataFrame, step: Steps) -> DataFrame:
     """``stretches`` cut wherever one of the same path begins or ends: (number, path, offset, at, n)."""
     end = F.col("offset") + F.col("n")
     block = F.floor(F.col("cut") / BLOCK)
     cuts = stretches.select("path", F.explode(F.array("offset", end)).alias("cut")).distinct()
     cuts = cuts.groupBy("path", block.alias("block")).agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
+    cuts = step(cuts, "cuts")
     first, last = F.floor(F.col("offset") / BLOCK), F.floor((end - 1) / BLOCK)
     within = stretches.withColumn("end", end).withColumn("block", F.explode(F.sequence(first, last)))
     low = F.greatest("offset", F.col("block") * BLOCK)
@@ -383,51 +396,121 @@ def read_again(texts: DataFrame, window: int) -> DataFrame:
 def repeats(texts: DataFrame, window: int) -> DataFrame:
     """(number, gone): per text of (number, text) with repeats, the (at, n) of windows that occur
     earlier; a lesser ``number`` is earlier."""
-    found = anchors(texts, window)
-    again = found.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
+    step = Steps(texts.sparkSession)
+    found = step(anchors(texts, window), "anchors")
+    # what is written first can be split in the join that follows
+    again = step(found.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash"), "again")
     found = found.select("number", "hash").join(again, "hash")
-    found = _step(found.groupBy("number").agg(F.collect_list("hash").alias("found")), "found")
-    texts = _step(texts.join(found, "number"), "texts")
-    runs = repeated_runs(texts, window)
+    found = step(found.groupBy("number").agg(F.collect_list("hash").alias("found")), "found")
+    step.remove("anchors", "again")
+    texts = step(texts.join(found, "number"), "texts")
+    step.remove("found")
+    runs = step(repeated_runs(texts, window), "runs")
     place = F.struct("number", "at")
     distinct = runs.groupBy("head", "tail").agg(
         F.min(place).alias("place"), F.count("*").alias("n"), F.first("nodes").alias("nodes")
     )
-    distinct = _step(distinct.select("head", "tail", "place.*", "n", "nodes"), "runs")
+    distinct = step(distinct.select("head", "tail", "place.*", "n", "nodes"), "distinct-runs")
     edges = windows_of(distinct).groupBy("left", "right").agg(F.min(place).alias("place"), F.sum("n").alias("n"))
-    edges = _step(edges.where("n > 1").select("left", "right", "place.*"), "edges")
+    edges = step(edges.where("n > 1").select("left", "right", "place.*"), "edges")
     on_path = windows_of(distinct).select("head", "tail", "j", "left", "right").join(
-        compacted(edges), ["left", "right"]
+        compacted(edges, step), ["left", "right"]
     )
     ways = on_path.groupBy("head", "tail").agg(
         F.sort_array(F.collect_list(F.struct("j", "path", "offset"))).alias("windows")
     )
-    ways = _step(ways, "ways-of-runs")
+    ways = step(ways, "ways-of-runs")
+    step.remove("distinct-runs", "edges", "chained", "links", "ways")
     met = runs.select("head", "tail", "number", "at").join(ways, ["head", "tail"])
-    cut = _step(pieces(_step(spans(met), "spans")), "pieces")
+    stretches = step(spans(met), "spans")
+    step.remove("runs", "ways-of-runs")
+    cut = step(pieces(stretches, step), "pieces")
+    step.remove("spans", "cuts")
     by_text = cut.groupBy("number").agg(F.collect_list(F.struct("path", "offset", "at", "n")).alias("pieces"))
-    read = _step(read_again(texts.drop("found").join(by_text, "number"), window), "read")
+    read = step(read_again(texts.drop("found").join(by_text, "number"), window), "read")
+    step.remove("texts", "pieces")
     of_piece = ["path", "offset", "n", "words"]
     first = read.groupBy(*of_piece).agg(F.min(place).alias("first"), F.count("*").alias("times"))
-    later = read.join(first.where("times > 1"), of_piece).where(place != F.col("first"))
-    return _step(later.groupBy("number").agg(F.collect_list(F.struct("at", "n")).alias("gone")), "repeats")
+    first = step(first.where("times > 1").drop("times"), "first")
+    later = read.join(first, of_piece).where(place != F.col("first"))
+    later = later.groupBy("number").agg(F.collect_list(F.struct("at", "n")).alias("gone"))
+    later = step(later, "repeats")
+    step.remove("read", "first")
+    return later
 
 
 # ---- documents -------------------------------------------------------------------
 
 
-def _kept(text: Column) -> Column:
-    """Words of a text between single blanks."""
-    return F.array_join(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), " ")
+REMOVED = "array<struct<start:bigint,end:bigint>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _encoded(batch: pa.RecordBatch) -> Iterator[bytes]:
+    return ((text.as_py() or "").encode() for text in batch.column("text"))
+
+
+def _keys(rows: DataFrame) -> DataFrame:
+    """(id, sha, n_words) of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(hashlib.sha256(text).digest(), word_count(text)) for text in _encoded(batch)]
+            columns = [pa.array([x[k] for x in found], t) for k, t in enumerate((pa.binary(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "sha", "n_words"])
+
+    schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL("sha binary, n_words bigint")])
+    return rows.mapInArrow(run, schema)
+
+
+def _short(rows: DataFrame, window: int) -> DataFrame:
+    """The rows that have fewer words than a window, as they stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, sizes, kept = [], [], []
+            for number, text in enumerate(_encoded(batch)):
+                # no text of so few words has more of them behind its first ones
+                words = text.split(None, window)
+                if len(words) < window:
+                    at.append(number)
+                    sizes.append(len(words))
+                    kept.append(b" ".join(words).decode())
+            columns = [batch.column("id").take(pa.array(at, pa.int64())), pa.array(sizes, pa.int64())]
+            columns += [pa.array(kept, pa.string()), pa.array([[]] * len(at), _SPANS)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "kept", "removed"])
+
+    schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL(f"n_words bigint, kept string, removed {REMOVED}")])
+    return rows.mapInArrow(run, schema)
 
 
-def _cut_out(rows: DataFrame, window: int, schema: T.StructType) -> DataFrame:
+def _once_a_task(rows: DataFrame, window: int) -> DataFrame:
+    """(sha, text) of the texts of a window or more; of equal ones in a task the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            at, shas = [], []
+            for number, text in enumerate(_encoded(batch)):
+                sha = hashlib.sha256(text).digest()
+                if sha not in seen and len(text.split(None, window)) >= window:
+                    seen.add(sha)
+                    at.append(number)
+                    shas.append(sha)
+            texts = batch.column("text").take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(shas, pa.binary()), texts], ["sha", "text"])
+
+    return rows.select("text").mapInArrow(run, "sha binary, text string")
+
+
+def _cut_out(rows: DataFrame, window: int) -> DataFrame:
+    """(id, rows, n_words, kept, removed) of rows (id, rows, text, gone)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             kept, removed, sizes = [], [], []
-            for text, gone in zip(batch.column("text"), batch.column("gone")):
-                words = text.as_py().encode().split()
+            for text, gone in zip(_encoded(batch), batch.column("gone")):
+                words = text.split()
                 merged: list[list[int]] = []
                 for start, end in sorted((g["at"], g["at"] + g["n"] + window - 1) for g in gone.as_py() or ()):
                     if merged and start <= merged[-1][1]:
@@ -435,16 +518,18 @@ def _cut_out(rows: DataFrame, window: int, schema: T.StructType) -> DataFrame:
                     else:
                         merged.append([start, end])
                 edges = [0, *(e for span in merged for e in span), len(words)]
-                left = [w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]
+                left = [w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]] if merged else words
                 sizes.append(len(words))
                 kept.append(b" ".join(left).decode())
                 removed.append([{"start": s, "end": e} for s, e in merged])
+            columns = [pa.array(sizes, pa.int64()), pa.array(kept, pa.string()), pa.array(removed, _SPANS)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("sha"), pa.array(sizes, pa.int64()), pa.array(kept, pa.string()), pa.array(removed, of_spans)],
-                ["sha", "n_words", "kept", "removed"],
+                [batch.column("id"), batch.column("rows"), *columns], ["id", "rows", "n_words", "kept", "removed"]
             )
 
-    return rows.select("sha", "text", "gone").mapInArrow(run, schema)
+    ddl = f"rows int, n_words bigint, kept string, removed {REMOVED}"
+    schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL(ddl)])
+    return rows.select("id", "rows", "text", "gone").mapInArrow(run, schema)
 
 
 def repeated_words(
@@ -454,35 +539,30 @@ def repeated_words(
     removed, the spans (start, end) of words that go, disjoint and in order."""
     if window < 2:
         raise ValueError("a window has two words or more")
-    removed = "array<struct<start:bigint,end:bigint>>"
-    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("n_words", F.regexp_count("text", F.lit(WORD)).cast("bigint"))
-    short = rows.where(F.col("n_words") < window).select(
-        "id", "n_words", _kept(F.col("text")).alias("kept"), F.array().cast(removed).alias("removed")
-    )
-    long = rows.where(F.col("n_words") >= window).withColumn("sha", F.unhex(F.sha2("text", 256)))
+    step = Steps(docs.sparkSession)
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     # rows of equal id and text are counted as one
-    keys = _step(long.groupBy("sha", "id", "n_words").agg(F.count("*").cast("int").alias("rows")), "keys")
+    keys = _keys(rows).where(F.col("n_words") >= window)
+    keys = step(keys.groupBy("sha", "id").agg(F.first("n_words").alias("n_words"), F.count("*").cast("int").alias("rows")), "keys")
     first = keys.groupBy("sha").agg(F.min("id").alias("first"))
     first = first.repartitionByRange(F.asc_nulls_last("first"), "sha").sortWithinPartitions(
         F.asc_nulls_last("first"), "sha"
     )
     # ids of Spark's rows grow with the partition, then with the place in it
-    first = _step(first.withColumn("number", F.monotonically_increasing_id()), "numbers")
-    texts = long.select("sha", "text").dropDuplicates(["sha"])
-    texts = _step(texts.join(first.select("sha", "number"), "sha").select("number", "sha", "text"), "distinct")
-    gone = repeats(texts.select("number", "text"), window)
-    schema = T.StructType.fromDDL(f"sha binary, n_words bigint, kept string, removed {removed}")
-    searched = _cut_out(texts.join(gone, "number", "left"), window, schema)
-    placed = keys.join(first.select("sha", "first"), "sha")
-    own = placed.where("id <=> first").select("sha", "id", "rows").join(searched, "sha")
+    first = step(first.withColumn("number", F.monotonically_increasing_id()), "numbers")
+    texts = _once_a_task(rows, window).join(first.select("sha", "number"), "sha").dropDuplicates(["sha"])
+    texts = step(texts.select("number", "text"), "distinct")
+    gone = repeats(texts, window)
+    placed = keys.join(first, "sha")
+    # one row for each text: its least id
+    own = placed.where("id <=> first").select("number", "id", "rows").join(gone, "number", "left")
+    searched = _cut_out(texts.join(own, "number"), window)
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_words").alias("end")))
     copies = placed.where("NOT id <=> first").select(
-        "id", "n_words", F.lit("").alias("kept"), whole.cast(removed).alias("removed"), "rows"
+        "id", "rows", "n_words", F.lit("").alias("kept"), whole.cast(REMOVED).alias("removed")
     )
-    both = own.select("id", "n_words", "kept", "removed", "rows").unionByName(copies)
-    every = both.withColumn("row", F.explode(F.sequence(F.lit(1), "rows")))
-    return short.unionByName(every.select("id", "n_words", "kept", "removed"))
+    every = searched.unionByName(copies).withColumn("row", F.explode(F.sequence(F.lit(1), "rows")))
+    return _short(rows, window).unionByName(every.select("id", "n_words", "kept", "removed"))
 
 
 _SQL = r"""WITH words AS (

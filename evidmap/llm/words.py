@@ -71,6 +71,12 @@ def word_hashes(text: bytes) -> np.ndarray:
     return np.concatenate(found)
 
 
+def word_count(text: bytes) -> int:
+    """Number of words of a text."""
+    data = np.frombuffer(text, np.uint8)
+    return sum(len(word_bounds(data[start:end])[0]) for start, end in cut(data))
+
+
 def hashed_texts(texts: pa.Array) -> Iterator[tuple[int, list[int], np.ndarray]]:
     """(number of the first text, words of each text, hashes of all their words), some texts at
     a time; a null text has no words."""

@@ -83,7 +83,7 @@ def test_paths_of_many_chains_and_rings(spark):
 def test_ring_of_chains_is_opened_at_the_least(spark):
     place = "struct<number:bigint,at:int>"
     links = [((k, 0), ((k + 1) % 5, 0), 2) for k in range(5)] + [((9, 0), None, 0), ((10, 0), (9, 0), 3), ((11, 0), (10, 0), 4)]
-    got = d.resolved(spark.createDataFrame(links, f"id {place}, up {place}, steps bigint"))
+    got = d.resolved(spark.createDataFrame(links, f"id {place}, up {place}, steps bigint"), d.Steps(spark))
     found = {r.id.number: (r.root.number, r.steps) for r in got.collect()}
     assert found == {0: (0, 0), 4: (0, 2), 3: (0, 4), 2: (0, 6), 1: (0, 8), 9: (9, 0), 10: (9, 3), 11: (9, 7)}
 
