@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evidmap.runtime import cut_lineage
+from evidmap.runtime import stored
 
 BLOCK = 1024
 ROWS_A_TASK = 16 * BLOCK
@@ -191,7 +191,7 @@ def neighbour_graph(
     vector = F.transform("vector", lambda x: x.cast("double"))
     finite = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < F.lit(math.inf)))
     vectors = vectors.where(F.col("id").isNotNull()).select("id", vector.alias("vector")).where(finite)
-    vectors = cut_lineage(vectors)
+    vectors = stored(vectors)
     first = vectors.orderBy("id").select(F.size("vector").alias("size")).first()
     length = first.size if first else 0
     vectors = vectors.where(F.size("vector") == length)
@@ -203,11 +203,11 @@ def neighbour_graph(
     pairs = _in_blocks(vectors, n, length, k, block, seed)
     for order in range(1, 1 if exact else orders):
         pairs = pairs.unionByName(_in_blocks(vectors, n, length, k, block, seed + order))
-    graph = cut_lineage(_best(pairs, k))
+    graph = stored(_best(pairs, k))
     for _ in range(0 if exact else rounds):
         listed = graph.select("id", F.inline("neighbours").alias("distance", "other"))
         better = listed.unionByName(_exchanged(vectors, graph, k))
-        graph = cut_lineage(_best(better, k))
+        graph = stored(_best(better, k))
     return graph
 
 
@@ -223,30 +223,24 @@ def spectral_layout(graph: DataFrame, iterations: int = 24, every: int = 4) -> D
     degrees = links.groupBy("id").agg(F.count("*").cast("double").alias("degree"))
     # the trivial direction of the scaled graph is the root of the degree
     base = graph.select("id").join(degrees, "id", "left").select("id", F.sqrt(F.coalesce("degree", F.lit(0.0))).alias("root"))
-    base = cut_lineage(base)
+    base = stored(base)
     ends = base.select(F.col("id").alias("other"), F.col("root").alias("other_root"))
-    links = cut_lineage(
-        links.join(base, "id").join(ends, "other").select("id", "other", (F.lit(1.0) / F.col("root") / F.col("other_root")).alias("w"))
-    )
+    # halfway to the mean of the neighbours, so that no direction swings to and fro: a link of each
+    # row to itself, so that a round reads the positions once
+    weight = F.lit(0.5) / F.col("root") / F.col("other_root")
+    links = links.join(base, "id").join(ends, "other").select("id", "other", weight.alias("w"))
+    links = stored(links.unionByName(base.select("id", F.col("id").alias("other"), F.lit(0.5).alias("w"))), "links")
 
     def chance(number: int):
         return F.xxhash64(F.lit(number), F.col("id").cast("string")).cast("double") / F.lit(2.0**63)
 
-    at = _independent(base.select("id", "root", chance(1).alias("x"), chance(2).alias("y")))
+    at = _independent(base.select("id", chance(1).alias("x"), chance(2).alias("y")), base)
     for done in range(1, iterations + 1):
-        from_ = at.select(F.col("id").alias("other"), F.col("x").alias("fx"), F.col("y").alias("fy"))
-        moved = links.join(from_, "other").groupBy("id").agg(
-            F.sum(F.col("w") * F.col("fx")).alias("mx"), F.sum(F.col("w") * F.col("fy")).alias("my")
-        )
-        # halfway to the mean of the neighbours, so that no direction swings to and fro
-        at = at.join(moved, "id", "left").select(
-            "id",
-            "root",
-            ((F.col("x") + F.coalesce("mx", F.lit(0.0))) / 2).alias("x"),
-            ((F.col("y") + F.coalesce("my", F.lit(0.0))) / 2).alias("y"),
-        )
+        met = links.join(at.select(F.col("id").alias("other"), "x", "y"), "other")
+        at = met.groupBy("id").agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in ("x", "y")])
         if done % every == 0 or done == iterations:
-            at = _independent(at)
+            at = _independent(at, base)
+    at = at.join(base, "id")
     placed = at.select(
         "id",
         *[F.when(F.col("root") > 0, F.col(c) / F.col("root")).otherwise(F.lit(0.0)).alias(c) for c in ("x", "y")],
@@ -256,9 +250,9 @@ def spectral_layout(graph: DataFrame, iterations: int = 24, every: int = 4) -> D
     return placed.select("id", *[(F.col(c) * signs[c]).alias(c) for c in ("x", "y")])
 
 
-def _independent(at: DataFrame) -> DataFrame:
-    """x and y at right angles to ``root`` and to each other, of length 1."""
-    at = cut_lineage(at)
+def _independent(at: DataFrame, base: DataFrame) -> DataFrame:
+    """x and y at right angles to ``root`` of ``base`` and to each other, of length 1."""
+    at = stored(at.join(base, "id"), "layout")
 
     def product(a: str, b: str):
         return F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}")
@@ -273,4 +267,4 @@ def _independent(at: DataFrame) -> DataFrame:
     rest = yy - along * xy
     x, y = F.col("x") - F.col("root") * px, F.col("y") - F.col("root") * py
     x_size, y_size = math.sqrt(xx) if xx > 0 else 1.0, math.sqrt(rest) if rest > 0 else 1.0
-    return at.select("id", "root", (x / x_size).alias("x"), ((y - x * along) / y_size).alias("y"))
+    return at.select("id", (x / x_size).alias("x"), ((y - x * along) / y_size).alias("y"))
