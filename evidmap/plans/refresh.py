@@ -116,10 +116,18 @@ def _state(store: Store, ids: DataFrame, step: int) -> DataFrame:
     ranges = ids.select(id_range("pubmed_id").alias("range")).distinct().limit(MOST_RANGES + 1).collect()
     if len(ranges) <= MOST_RANGES:
         rows = rows.where(F.col("range").isin([r.range for r in ranges]))
-    rows = rows.where(F.col("step") <= step).join(ids, "pubmed_id", "left_semi")
+    # merge, here and below: rows of ids pack well, so a table small on disk may be large to broadcast
+    rows = rows.where(F.col("step") <= step).join(ids.hint("merge"), "pubmed_id", "left_semi")
     return rows.groupBy("pubmed_id").agg(F.max_by("now", "step").alias("was"))
 
 
+def _by_id(ids: DataFrame, *told: DataFrame) -> DataFrame:
+    """``ids`` with the row each of ``told`` has for an id; none of them is held whole anywhere."""
+    for rows in told:
+        ids = ids.join(rows.hint("merge"), "pubmed_id", "left")
+    return ids
+
+
 def refresh(store: Store) -> list[tuple[str, str]]:
     """Fold the batches of articles and extractions that are new; their (table, batch)."""
     spark, done = store.spark, _progress(store)
@@ -136,14 +144,14 @@ def refresh(store: Store) -> list[tuple[str, str]]:
             return store.read(table)
         return store.read_batches(table, [b for t, b in new if t == (like or table)])
 
-    articles = rows("articles")
+    articles = rows("articles").hint("merge")
     dated = articles.select("pubmed_id", F.lit(True).alias("arrived"), year_of(F.col("pub_date")).alias("year"))
     told = current_extractions(rows("extractions"))
     extraction = F.struct("extracted_ts", F.col("extraction_error").alias("error"), "study_design", "treatment_outcomes")
     told = told.select("pubmed_id", extraction.alias("told"))
     ids = dated.select("pubmed_id").unionByName(told.select("pubmed_id")).distinct()
     before = _state(store, ids, step - 1) if done else ids.withColumn("was", F.lit(None).cast(_ROW)).limit(0)
-    met = ids.join(before, "pubmed_id", "left").join(dated, "pubmed_id", "left").join(told, "pubmed_id", "left")
+    met = _by_id(ids, before, dated, told)
     later = F.col("told").isNotNull() & (
         F.col("was.extracted_ts").isNull() | (F.col("told.extracted_ts") >= F.col("was.extracted_ts"))
     )
