@@ -224,3 +224,15 @@ def test_planted_groups_in_the_layout(spark):
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "pubmed_id string, embedding array<float>")
     assert embed.map_embeddings(empty).collect() == []
+
+
+def test_one_task_and_rounds_give_the_same_clusters(spark):
+    """Clusters that join one by one; a forest, and a tree, that one task takes or rounds do."""
+    rng = random.Random(3)
+    points = {i: (rng.gauss(i % 4 * 3, 1 + i % 3), rng.gauss(0, 1)) for i in range(300)}
+    lists = lists_by_loop(points, 10)
+    want = clusters_by_loop(points, edges_by_loop(lists, 4), 6)
+    assert len(set(want.values())) > 8
+    for one_task in (density.ONE_TASK, 40):
+        found = density.density_tree_clusters(graph_of(spark, lists), 4, 6, one_task).collect()
+        assert {r.id: r.cluster for r in found} == want
