@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from evidmap.functions.text import first_filled
 from evidmap.operators.relevance import without_error
-from evidmap.runtime import cut_lineage
+from evidmap.runtime import cut_lineage, stored
 
 
 def _pairs(extractions: DataFrame) -> DataFrame:
@@ -35,28 +35,37 @@ def _pairs(extractions: DataFrame) -> DataFrame:
     ).where((F.col("source") != "") & (F.col("target") != ""))
 
 
-def graph_links(extractions: DataFrame) -> DataFrame:
-    """G1: one link per (treatment, outcome); the last pair written gives its attributes."""
+def _last_pairs(extractions: DataFrame) -> DataFrame:
+    """(source, target, last): of the pairs of a link the one written last.
+
+    First the last time of each link, a number that is folded without sorting; names and ids are
+    compared among the pairs of that time only. Spark broadcasts the times if they are few.
+    """
+    pairs = _pairs(extractions)
+    time = F.col("written.extracted_ts")
+    times = stored(pairs.groupBy("source", "target").agg(F.max(time).alias("time")), "times")
+    p, t = pairs.alias("p"), times.alias("t")
+    of_link = F.col("p.source").eqNullSafe(F.col("t.source")) & F.col("p.target").eqNullSafe(F.col("t.target"))
+    pairs = p.join(t, of_link & F.col("p.written.extracted_ts").eqNullSafe(F.col("t.time")), "left_semi")
     # the place in the order of writing comes first, so the largest is the last written
     last = F.max(F.struct("written.*", "effect_direction", "population"))
-    return (
-        _pairs(extractions)
-        .groupBy("source", "target")
-        .agg(last.alias("last"))
-        .select("source", "target", "last.effect_direction", "last.population", "last.pubmed_id")
-    )
+    return pairs.groupBy("source", "target").agg(last.alias("last"))
 
 
-def graph_nodes(extractions: DataFrame) -> DataFrame:
-    """All link ends; a name in both roles has the type written last."""
+def _links(last_pairs: DataFrame) -> DataFrame:
+    return last_pairs.select("source", "target", "last.effect_direction", "last.population", "last.pubmed_id")
+
+
+def _nodes(last_pairs: DataFrame) -> DataFrame:
+    # what is written last of a name is so of one of its links
     ends = F.array(
         F.struct(F.col("source").alias("id"), F.lit(0).alias("role")),
         F.struct(F.col("target").alias("id"), F.lit(1).alias("role")),
     )
-    role = F.max(F.struct("written.*", "role"))["role"]
+    written = F.struct("last.extracted_ts", "last.pubmed_id", "last.pos").alias("written")
+    role = F.max(F.struct("written", "role"))["role"]
     return (
-        _pairs(extractions)
-        .select("written", F.inline(ends))
+        last_pairs.select(written, F.inline(ends))
         .groupBy("id")
         .agg(role.alias("role"))
         .select(
@@ -66,9 +75,20 @@ def graph_nodes(extractions: DataFrame) -> DataFrame:
     )
 
 
+def graph_links(extractions: DataFrame) -> DataFrame:
+    """G1: one link per (treatment, outcome); the last pair written gives its attributes."""
+    return _links(_last_pairs(extractions))
+
+
+def graph_nodes(extractions: DataFrame) -> DataFrame:
+    """All link ends; a name in both roles has the type written last."""
+    return _nodes(_last_pairs(extractions))
+
+
 def knowledge_graph(extractions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, links)."""
-    return graph_nodes(extractions), graph_links(extractions)
+    last = stored(_last_pairs(extractions), "links")
+    return _nodes(last), _links(last)
 
 
 def graph_counts(nodes: DataFrame, links: DataFrame) -> DataFrame:

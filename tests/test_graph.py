@@ -46,6 +46,27 @@ def test_self_link_counts_as_outcome(spark, rows):
     assert rows(graph.graph_nodes(frame)) == [("a", "outcome")]
 
 
+def test_only_pairs_of_the_last_time_are_sorted(spark, rows):
+    """Times are folded without sorting; what has none, or the same, is settled by id and place."""
+    day = datetime(2024, 1, 1)
+    frame = spark.createDataFrame(
+        [
+            ("1", None, None, None, [("a", "b", "positive"), ("n", "m", "mixed")]),
+            ("2", None, None, None, [("n", "m", "neutral"), ("m", "n", "unknown")]),
+            ("3", day, None, None, [("a", "b", "negative"), ("a", "b", "mixed"), ("b", "a", "positive")]),
+            ("4", day, None, None, [("a", "b", "neutral"), ("A", "c", "positive")]),
+        ],
+        EXTRACTIONS,
+    )
+    links = graph.graph_links(frame)
+    assert rows(links, "source", "target", "effect_direction", "pubmed_id") == [
+        ("a", "b", "neutral", "4"), ("a", "c", "positive", "4"), ("b", "a", "positive", "3"),
+        ("m", "n", "unknown", "2"), ("n", "m", "neutral", "2"),
+    ]
+    assert rows(graph.graph_nodes(frame)) == [("a", "treatment"), ("b", "outcome"), ("c", "outcome"), ("m", "treatment"), ("n", "outcome")]
+    assert "LeftSemi" in links._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_term_network(spark, rows):
     pairs = spark.createDataFrame([("a", "b", 5), ("b", "c", 9), ("c", "d", 1)], "term_a string, term_b string, co_occurrence_count bigint")
     nodes, edges = graph.term_network(pairs, top=2)
