@@ -15,6 +15,7 @@ of their own; an empty table gives no pieces; ids may be null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -50,6 +51,12 @@ def is_plain(text: str) -> bool:
     return SPECIAL not in text and len(data.translate(None, CONTROLS)) == len(data)
 
 
+@lru_cache(1)
+def rank_table(path: str) -> Merges:
+    """Read once by a worker, however many tasks it has."""
+    return Merges(path)
+
+
 class WordTokens:
     """Ids of texts, with the ids of each word kept.
 
@@ -64,12 +71,21 @@ class WordTokens:
     TOGETHER = 500
 
     def __init__(self, path: str, merges: Merges | None = None) -> None:
+        self.path = path
+        self.merges = merges or rank_table(path)
+        self.words: dict[str, bytes] = {}
+
+    @cached_property
+    def tokenizer(self):
+        """Loaded for the first text or word that needs it."""
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.merges = merges or Merges(path)
-        self.words: dict[str, bytes] = {}
-        (self.mark,) = self._encode(MARK)
+        return Tokenizer.from_file(self.path)
+
+    @cached_property
+    def mark(self) -> int:
+        (mark,) = self._encode(MARK)
+        return mark
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -195,17 +211,21 @@ class Shard:
     """Inverted index over the tails of some documents."""
 
     def __init__(self, tails: list[np.ndarray], weight: np.ndarray, mean_length: float) -> None:
-        docs, terms, counts = [], [], []
-        for number, ids in enumerate(tails):
-            found, n = np.unique(ids, return_counts=True)
-            heavy = weight[found] > 0  # the others add nothing to any score
-            docs.append(np.full(heavy.sum(), number))
-            terms.append(found[heavy])
-            counts.append(n[heavy])
-        self.n, self.weight, self.own = len(tails), weight, terms
-        docs, terms, counts = map(np.concatenate, (docs, terms, counts))
-        order = np.argsort(terms, kind="stable")
         lengths = np.array([len(t) for t in tails])
+        # the terms of all documents are counted by one sort, by document and term
+        keys = np.repeat(np.arange(len(tails), dtype=np.int64) << 32, lengths)
+        keys |= np.concatenate(tails)
+        keys.sort()
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        counts = np.diff(np.append(first, len(keys)))
+        keys = keys[first]
+        docs, terms = keys >> 32, keys & 0xFFFFFFFF
+        heavy = weight[terms] > 0  # the others add nothing to any score
+        docs, terms, counts = docs[heavy], terms[heavy], counts[heavy]
+        cuts = np.searchsorted(docs, np.arange(1, len(tails)))
+        self.n, self.weight, self.own = len(tails), weight, np.split(terms, cuts)
+        # 16 bits are sorted by counting
+        order = np.argsort(terms.astype(np.uint16) if len(weight) <= 1 << 16 else terms, kind="stable")
         norm = K1 * (1 - B + B * lengths / mean_length)
         self.docs, self.terms = docs[order], terms[order]
         tf = counts[order]

@@ -114,3 +114,31 @@ def test_like_documents_share_windows():
 
 def test_empty(no_docs, path):
     assert packing.pack(no_docs, path).collect() == []
+
+
+def test_workers_load_tables_once_and_the_tokenizer_when_needed(path):
+    first, second = packing.WordTokens(path), packing.WordTokens(path)
+    assert first.merges is second.merges
+    first.texts(["plain words only"])
+    assert "tokenizer" not in vars(first)
+    whole = Tokenizer.from_file(path).encode("it's 日本", add_special_tokens=False).ids
+    assert np.frombuffer(first.texts(["it's 日本"])[0], "<u4").tolist() == [*whole, packing.END]
+    assert "tokenizer" in vars(first)
+
+
+@pytest.mark.parametrize("terms", [40, 1 << 17])
+def test_index_counts_the_terms_of_each_document(terms):
+    draw = np.random.default_rng(5)
+    tails = [draw.integers(0, 40, n).astype("<u4") for n in (1, 30, 200, 7)]
+    weight = np.where(np.arange(terms) % 3 == 0, 0.0, 1.0 + np.arange(terms) % 40)
+    index = packing.Shard(tails, weight, 50.0)
+    found = {(d, t): s for d, t, s in zip(index.docs.tolist(), index.terms.tolist(), index.scores.tolist())}
+    plain = {}
+    for number, ids in enumerate(tails):
+        norm = packing.K1 * (1 - packing.B + packing.B * len(ids) / 50.0)
+        for term in set(ids.tolist()):
+            if weight[term] > 0:
+                n = ids.tolist().count(term)
+                plain[number, term] = weight[term] * n * (packing.K1 + 1) / (n + norm)
+        assert index.own[number].tolist() == sorted(t for d, t in plain if d == number)
+    assert found == pytest.approx(plain) and index.terms.tolist() == sorted(index.terms.tolist())
