@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -179,9 +180,12 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     """Per row: id, lang_pred, score, and ``shares``, a map of the chosen languages.
 
     The score is the share of the predicted language, or for a text in one language
-    the chance of it against each other one alone.
+    the chance of it against each other one alone. ``text`` may be a field of ``doc_id``
+    (``row.text``): it goes to the tasks once then.
     """
-    docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    inside = text.startswith(f"{doc_id}.")
+    field = text[len(doc_id) + 1 :]
+    docs = docs.select(F.col(doc_id).alias("id"), *([] if inside else [F.col(text).alias("text")]))
     schema = T.StructType([docs.schema["id"], *T.StructType.fromDDL(FOUND)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +194,8 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
             size = len(batch)
             names, scores = [UNKNOWN] * size, np.zeros(size)
             shares: list[list[tuple[str, float]]] = [[] for _ in range(size)]
-            for first, texts in chunks(batch.column("text")):
+            column = pc.struct_field(batch.column("id"), [field]) if inside else batch.column("text")
+            for first, texts in chunks(column):
                 grams, owner = trigrams(texts, is_letter)
                 if not len(grams) or not model.languages:
                     continue
@@ -239,5 +244,5 @@ def in_a_language(
     model = train(docs.where(~held_out(F.col(doc_id))), text, lang)
     fields = docs.schema
     is_row = F.struct(*[F.col(c) for c in docs.columns])
-    found = identify(docs.select(is_row.alias("row"), F.col(text).alias("text")), model, "row", "text")
+    found = identify(docs.select(is_row.alias("row")), model, "row", f"row.{text}")
     return found.where(F.col("lang_pred") != UNKNOWN).select("id.*").to(fields)

@@ -34,7 +34,7 @@ SHARD_DOCS = 512
 SHARD_TOKENS = 1 << 20
 K1, B = 1.2, 0.75
 PIECE = 1 << 20
-GROUP = 1 << 22  # characters of the texts whose words are looked up together
+GROUP = 1 << 21  # characters of the texts whose words are looked up together
 
 # Controls, which are no plain text; and the start of a special token.
 CONTROLS = bytes([*range(9), *range(14, 32), 127])

@@ -73,3 +73,13 @@ def test_stage_keeps_rows_and_columns(docs, corpus):
     assert kept.columns == docs.columns
     want = sorted(repr(i) for i, t in corpus if any(c.isalpha() for c in t or ""))
     assert sorted(repr(r.doc_id) for r in kept.collect()) == want
+
+
+def test_stage_sends_each_text_once(docs, monkeypatch):
+    sent, send = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, *a, **k: sent.append(df.columns) or send(df, *a, **k))
+    kept = language.in_a_language(docs)
+    assert sent[-1] == ["id"]  # the row, with its text inside
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
+    plain = language.identify(docs, model).where("lang_pred <> 'und'")
+    assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(r.id) for r in plain.collect())
