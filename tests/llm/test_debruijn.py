@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -115,6 +116,34 @@ def test_runs_hold_every_window_once(monkeypatch):
             assert windows == [(o, k) for o, n in enumerate(counts) for k in range(n - 19)]
 
 
+@pytest.mark.parametrize("window", [3, 8, 9, 20, 21])
+def test_anchor_is_the_least_piece_of_every_window(window):
+    words = random.Random(3)
+    hashes = np.array([words.randrange(6) for _ in range(300)], np.uint64)  # many equal pieces
+    runs = d.Runs([100, 0, 200], hashes, window)
+    short = min(d.ANCHOR, window)
+    pieces = d.rolled(hashes, short)
+    own = [(0, k) for k in range(100 - window + 1)] + [(2, k) for k in range(200 - window + 1)]
+    found = {}
+    for text, at, n, anchor in zip(runs.owner.tolist(), runs.at.tolist(), runs.n.tolist(), runs.anchor.tolist()):
+        found |= {(text, at + k): (anchor, at) for k in range(n)}
+    assert sorted(found) == own
+    first = {}  # windows with one place of the least piece are one run
+    for text, k in own:
+        start = k + (100 if text else 0)
+        around = pieces[start : start + window - short + 1].tolist()
+        place = start + around.index(min(around))
+        assert found[text, k] == (min(around), first.setdefault((text, place), k))
+
+
+def test_least_pieces_are_found_by_doubling(monkeypatch):
+    """Five rounds at most for the 13 pieces of a window of 20, where each piece took a round."""
+    rounds, where = [], np.where
+    monkeypatch.setattr(np, "where", lambda *a: rounds.append(1) or where(*a))
+    d.Runs([50], np.arange(50, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 20)
+    assert 0 < len(rounds) <= 10  # two columns a round
+
+
 def test_a_passage_in_every_text(spark):
     rng = random.Random(4)
     passage = prose(rng, 60, 10_000)
