@@ -1,6 +1,6 @@
 """Byte-pair ids of many words at once, with numpy, from the rank table of a public tokenizer.
 
-Words of one length are the rows of a matrix of symbols. In a round every row that has a pair in the
+Words of about one length are the rows of a matrix of symbols, filled up at the end. In a round every row that has a pair in the
 table merges its best one (the least rank, then the leftmost), so rows stay of one length; rows
 without such a pair are done. Only the two pairs beside a merge are looked up again.
 """
@@ -18,6 +18,8 @@ NONE = np.int32(np.iinfo(np.int32).max)
 FREE = np.uint32(0xFFFFFFFF)
 BLANK, LETTER, DIGIT, OTHER = range(4)
 LONGEST = 64  # longer words are left to the library
+TOGETHER = 8  # runs of up to so many signs, then up to twice as many, ... are rows of one matrix
+PAD = 0xFFFF  # fills a row; in no pair of the table
 
 
 def _kind(char: str) -> int:
@@ -137,33 +139,48 @@ class Merges:
         kind = KIND[data]
         inside = kind != BLANK
         new = inside & ((np.append(BLANK, kind[:-1]) != kind) | (kind == DIGIT))
+        ids, sizes = self.encode_runs(data[inside], (np.cumsum(inside) - 1)[new])
+        # the run in which each word begins and ends
+        before = np.cumsum(new)[np.flatnonzero(~inside)]
+        cuts = np.append(0, np.cumsum(sizes))[before]
+        packed = ids.astype("<u4").tobytes()
+        cuts = (np.append(0, cuts) * 4).tolist()
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode_runs(self, data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs one after the other, and how many each has.
+
+        The runs are in ``data`` (Latin-1, small letters) without a gap, and begin at ``start``.
+        """
+        if not len(start):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         # signs beyond ASCII have two bytes in UTF-8
         wide = data >= 0x80
-        at = np.cumsum(inside.astype(np.int64) + (wide & inside)) - (1 + wide)
-        size = int(at[-1]) + 1  # the last sign is a blank
+        at = np.cumsum(1 + wide) - (1 + wide)
+        size = int(at[-1]) + 1 + int(wide[-1])
         symbols = np.zeros(size, np.uint8)
-        symbols[at[inside]] = np.where(wide, 0xC0 | data >> 6, data)[inside]
-        symbols[at[inside & wide] + 1] = 0x80 | data[inside & wide] & 0x3F
-        start = at[new]
+        symbols[at] = np.where(wide, 0xC0 | data >> 6, data)
+        symbols[at[wide] + 1] = 0x80 | data[wide] & 0x3F
+        start = at[start]
         length = np.diff(np.append(start, size))
         ids = np.zeros(size, np.int32)
         sizes = np.zeros(len(start), np.int64)
         parts = []
-        for width in np.unique(length):
-            own = np.flatnonzero(length == width)
+        widths = -(-length // TOGETHER) * TOGETHER
+        symbols = np.append(symbols, np.zeros(TOGETHER, np.uint8))
+        for width in np.unique(widths):
+            own = np.flatnonzero(widths == width)
             rows = symbols[start[own][:, None] + np.arange(width)]
             table = self.inner[rows]
-            table[:, -1] = self.last[rows[:, -1]]
+            last = np.arange(len(own)), length[own] - 1
+            table[last] = self.last[rows[last]]
+            table[np.arange(width) >= length[own][:, None]] = PAD
             for which, found in self.merged(table):
-                sizes[own[which]] = found.shape[1]
-                parts.append((own[which], found))
+                real = found != PAD
+                sizes[own[which]] = real.sum(1)
+                parts.append((own[which], found, real))
         ends = np.cumsum(sizes)
-        for which, found in parts:
-            ids[(ends - sizes)[which][:, None] + np.arange(found.shape[1])] = found
-        # the run in which each word begins and ends
-        blank = np.flatnonzero(data == 32)
-        before = np.cumsum(new)[blank]
-        cuts = np.append(0, ends)[before]
-        packed = ids[: ends[-1] if len(ends) else 0].astype("<u4").tobytes()
-        cuts = (np.append(0, cuts) * 4).tolist()
-        return [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+        for which, found, real in parts:
+            at = (ends - sizes)[which][:, None] + np.arange(found.shape[1])
+            ids[at[real]] = found[real]
+        return ids[: ends[-1]], sizes

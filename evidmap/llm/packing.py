@@ -16,15 +16,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidmap.llm.bpe import LONGEST, Merges
+from evidmap.llm.bpe import BLANK, KIND, LETTER, LONGEST, OTHER, Merges
 from evidmap.llm.catalog import query
 from evidmap.llm.tables import table, written
 
@@ -40,6 +40,11 @@ GROUP = 1 << 21  # characters of the texts whose words are looked up together
 CONTROLS = bytes([*range(9), *range(14, 32), 127])
 SPECIAL = "<|"
 MARK = "\x01"  # between words that are encoded together; no plain text holds it
+# Of each sign of Latin-1: its small letter, and what kind of run it stands in. Zero ends a text.
+SMALL = np.array([ord(chr(b).lower()) for b in range(256)], np.uint8)
+STOP = 4
+RUN_KIND = np.append(np.uint8(STOP), KIND[1:])
+SMALL[KIND == BLANK] = ord(" ")
 
 
 def is_plain(text: str) -> bool:
@@ -58,22 +63,29 @@ def rank_table(path: str) -> Merges:
 
 
 class WordTokens:
-    """Ids of texts, with the ids of each word kept.
-
-    The tokenizer drops white space and encodes nothing across it, so what stands between
-    two spaces has the same ids everywhere. Words not seen before are merged together, from
-    the rank table of the tokenizer's file; those with an apostrophe, and very long ones, by the
-    tokenizer itself. So are texts outside Latin-1 (where small letters may depend on
-    neighbours), and those that might hold a special token.
+    """Ids of texts, with the ids of each run of signs kept.
+
+    The tokenizer drops white space and encodes nothing across it, nor across letters, digits
+    and other signs, so a run of one kind has the same ids everywhere. Runs are found, told apart
+    and looked up as arrays, for many texts together. Those not seen before are merged together,
+    from the rank table of the tokenizer's file; words with an apostrophe (one run as a whole) and
+    very long runs are encoded by the tokenizer itself. So are texts outside Latin-1 (where small
+    letters may depend on neighbours), and those that might hold a special token.
     """
 
-    MOST_WORDS = 500_000  # the table begins anew beyond this, with the words of the texts at hand
+    MOST_WORDS = 500_000  # the table begins anew beyond this, with the runs of the texts at hand
+    MOST_IDS = 1 << 23
     TOGETHER = 500
 
     def __init__(self, path: str, merges: Merges | None = None) -> None:
         self.path = path
         self.merges = merges or rank_table(path)
-        self.words: dict[str, bytes] = {}
+        self._begin()
+
+    def _begin(self) -> None:
+        self.runs = pa.array([b"\0", b" "], pa.binary())
+        self.ids = np.array([END], "<u4")
+        self.ends = np.array([1, 1], np.int32)  # of the ids of each run
 
     @cached_property
     def tokenizer(self):
@@ -90,42 +102,95 @@ class WordTokens:
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def learn(self, words: set[str]) -> None:
-        new = [word for word in words if "'" in word or len(word) > LONGEST]
-        plain = list(words.difference(new))
-        self.words.update(zip(plain, self.merges.encode(plain)))
+    def _learn(self, runs: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.runs = pa.concat_arrays([self.runs, runs])
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(sizes, dtype=np.int32))
+        self.ids = np.append(self.ids, ids.astype("<u4"))
+
+    def _by_tokenizer(self, runs: pa.Array) -> None:
         between = f" {MARK} "
-        for at in range(0, len(new), self.TOGETHER):
-            part = new[at : at + self.TOGETHER]
-            ids = np.array(self._encode(between.join(part)), "<u4")
-            cuts = np.flatnonzero(ids == self.mark).tolist()
-            data = ids.tobytes()
-            for word, start, end in zip(part, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]):
-                self.words[word] = data[4 * start : 4 * end]
+        for at in range(0, len(runs), self.TOGETHER):
+            part = runs.slice(at, self.TOGETHER)
+            ids = np.array(self._encode(between.join(r.decode("latin-1") for r in part.to_pylist())), "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            sizes = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            self._learn(part, sizes, np.delete(ids, cuts))
+
+    def places(self, runs: pa.Array) -> np.ndarray:
+        """The place of each of some different runs in the table, which learns those it has not."""
+        at = pc.index_in(runs, value_set=self.runs)
+        full = len(self.runs) + at.null_count > self.MOST_WORDS or len(self.ids) > self.MOST_IDS
+        if full and len(self.runs) > 2:
+            self._begin()
+            at = pc.index_in(runs, value_set=self.runs)
+        missing = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        found = at.fill_null(0).to_numpy().copy()
+        if not len(missing):
+            return found
+        new = runs.take(pa.array(missing))
+        by_library = pc.or_(pc.match_substring(new, "'"), pc.greater(pc.binary_length(new), LONGEST))
+        by_library = by_library.to_numpy(zero_copy_only=False)
+        found[missing[~by_library]] = len(self.runs) + np.arange(len(missing) - by_library.sum())
+        plain = new.filter(pa.array(~by_library))
+        if len(plain):
+            starts, data = spans_of(plain)
+            ids, sizes = self.merges.encode_runs(data, starts[:-1])
+            self._learn(plain, sizes, ids)
+        found[missing[by_library]] = len(self.runs) + np.arange(by_library.sum())
+        self._by_tokenizer(new.filter(pa.array(by_library)))
+        return found
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        data = SMALL[np.frombuffer("".join(f"{t}\0" for t in texts).encode("latin-1"), np.uint8)]
+        kind = RUN_KIND[data]
+        new = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] != LETTER) & (kind[1:] != OTHER))
+        quote = np.flatnonzero(data == ord("'"))
+        if len(quote):
+            gap = (kind == BLANK) | (kind == STOP)
+            word = np.cumsum(gap, dtype=np.int32)
+            quoted = np.zeros(int(word[-1]) + 1, bool)
+            quoted[word[quote]] = True
+            new &= gap | ~quoted[word] | np.append(True, gap[:-1])
+        start = np.flatnonzero(new).astype(np.int32)
+        cuts = [None, pa.py_buffer(np.append(start, np.int32(len(data)))), pa.py_buffer(data)]
+        runs = pa.Array.from_buffers(pa.binary(), len(start), cuts).dictionary_encode()
+        place = self.places(runs.dictionary)[runs.indices.to_numpy()]
+        begin = np.append(np.int32(0), self.ends[:-1])[place]
+        sizes = self.ends[place] - begin
+        ends = np.cumsum(sizes, dtype=np.int32)
+        begin -= ends - sizes
+        at = np.repeat(begin, sizes)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = self.ids[at].tobytes()
+        stops = (np.append(0, ends[data[start] == 0].astype(np.int64)) * 4).tolist()
+        return [ids[a:b] for a, b in zip(stops, stops[1:])]
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, then the end token."""
         end = np.array([END], "<u4").tobytes()
-        words: list[list[str] | None] = []
-        for text in texts:
-            words.append(text.lower().split() if is_plain(text) else None)
-        known = self.words
-        every = set(chain.from_iterable(own for own in words if own))
-        missing = every.difference(known)
-        if known and len(known) + len(missing) > self.MOST_WORDS:
-            known.clear()
-            missing = every
-        self.learn(missing)
+        plain = [is_plain(text) for text in texts]
+        short = [text for text, own in zip(texts, plain) if own and len(text) <= GROUP]
+        known = iter(self._plain(short) if short else [])
         found = []
-        for text, own in zip(texts, words):
-            if own is None:
-                ids = b"".join(np.array(self._encode(p), "<u4").tobytes() for p in pieces(text))
+        for text, own in zip(texts, plain):
+            if own and len(text) <= GROUP:
+                found.append(next(known))
+            elif own:
+                found.append(b"".join(self._plain([p])[0][: -len(end)] for p in pieces(text)) + end)
             else:
-                ids = b"".join(map(known.__getitem__, own))
-            found.append(ids + end)
+                found.append(b"".join(np.array(self._encode(p), "<u4").tobytes() for p in pieces(text)) + end)
         return found
 
 
+def spans_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each value begins (and the last ends) in the bytes of a column, and these bytes; no copy."""
+    _, ends, data = column.buffers()
+    if not len(column):
+        return np.zeros(1, np.int32), np.zeros(0, np.uint8)
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+    return ends, np.frombuffer(data or b"", np.uint8, count=int(ends[-1]))
+
+
 def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     """A text in pieces of about ``size``, cut at spaces, which no token reaches over."""
     at = 0
@@ -172,9 +237,8 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFr
 
 def documents_of(column: pa.Array) -> Iterator[np.ndarray]:
     """The ids of each document, without a copy."""
-    _, ends, data = column.buffers()
-    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1] // 4
-    ids = np.frombuffer(data, "<u4", count=int(ends[-1]) if len(column) else 0)
+    ends, data = spans_of(column)
+    ids, ends = data.view("<u4"), ends // 4
     for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
         yield ids[start:end]
 

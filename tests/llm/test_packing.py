@@ -142,3 +142,30 @@ def test_index_counts_the_terms_of_each_document(terms):
                 plain[number, term] = weight[term] * n * (packing.K1 + 1) / (n + norm)
         assert index.own[number].tolist() == sorted(t for d, t in plain if d == number)
     assert found == pytest.approx(plain) and index.terms.tolist() == sorted(index.terms.tolist())
+
+
+def test_runs_are_kept_once_whatever_stands_beside_them(path):
+    """Words that differ by signs and digits only are made of known runs."""
+    tokens, tokenizer = packing.WordTokens(path), Tokenizer.from_file(path)
+    texts = [f"Alpha{sign}beta{k}{sign} {sign}" for sign in ",.;!?" for k in range(40)]
+    assert tokens.texts(texts) == [ids_of(tokenizer, t) for t in texts]
+    # the end, the blank, two words, five signs, ten digits
+    assert len(tokens.runs) == 19 and len(set(tokens.runs.to_pylist())) == 19
+
+
+def test_texts_together_have_the_ids_of_the_tokenizer(path, monkeypatch):
+    monkeypatch.setattr(packing.WordTokens, "MOST_WORDS", 300)
+    rng = np.random.default_rng(11)
+    signs = list("abcdeTHE  '\n\t.,-_019") + ["'s ", "\x85", "\xa0", "é", "É", "ß", "日", "\x00", "\x7f", "<|", "z" * 70]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 60))) for _ in range(1500)]
+    tokens, tokenizer = packing.WordTokens(path), Tokenizer.from_file(path)
+    found = [ids for at in range(0, len(texts), 100) for ids in tokens.texts(texts[at : at + 100])]
+    assert found == [ids_of(tokenizer, t) for t in texts]
+
+
+def test_long_plain_texts_are_cut(path, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    monkeypatch.setattr(packing.pieces, "__defaults__", (40,))
+    tokens, tokenizer = packing.WordTokens(path), Tokenizer.from_file(path)
+    texts = ["it's one of many words, " * 30, "short", "x" * 130 + " y"]
+    assert tokens.texts(texts) == [ids_of(tokenizer, t) for t in texts]
