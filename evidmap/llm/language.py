@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evidmap.llm.catalog import query
-from evidmap.llm.tables import table
+from evidmap.llm.tables import released, table
 
 UNKNOWN = "und"
 GRAM_BITS = 14
@@ -89,7 +89,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter, counts = letters(), {}
-        for batch in batches:
+        for batch in released(batches):
             names = batch.column("lang").to_pylist()
             for first, texts in chunks(batch.column("text")):
                 grams, owner = trigrams(texts, is_letter)
@@ -190,7 +190,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
-        for batch in batches:
+        for batch in released(batches):
             size = len(batch)
             names, scores = [UNKNOWN] * size, np.zeros(size)
             shares: list[list[tuple[str, float]]] = [[] for _ in range(size)]

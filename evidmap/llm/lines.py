@@ -31,7 +31,7 @@ from evidmap.llm.buckets import group_starts, map_groups
 from evidmap.llm.catalog import query
 from evidmap.llm.components import components
 from evidmap.llm.hamming import Part, close_pairs, mask_of, unsigned
-from evidmap.llm.tables import row_key, rows_fit, table, written
+from evidmap.llm.tables import released, row_key, rows_fit, table, written
 
 MIN_WORDS = 5
 MIN_CHARS = 20  # a line of fewer words that has so many characters is compared as well
@@ -158,7 +158,7 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for first, texts in chunks(batch.column("text")):
                 owner, at, names, fps = line_prints(texts, min_words)
                 rows = pa.array(owner + first)

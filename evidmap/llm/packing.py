@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from evidmap.llm.bpe import BLANK, KIND, LETTER, LONGEST, OTHER, Merges
 from evidmap.llm.catalog import query
-from evidmap.llm.tables import table, written
+from evidmap.llm.tables import released, table, written
 
 WINDOW = 2048
 END = 1
@@ -224,7 +224,7 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, tokenizer: str) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens(tokenizer)
-        for batch in batches:
+        for batch in released(batches):
             first = 0
             for some in grouped(batch.column("text")):
                 ids = pa.array(tokens.texts(some), pa.binary())
@@ -248,7 +248,7 @@ def term_counts(tokens: DataFrame) -> tuple[dict[int, int], int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, here, docs, total = np.zeros(1, np.int64), np.zeros(1, bool), 0, 0
-        for batch in batches:
+        for batch in released(batches):
             for ids in documents_of(batch.column("ids")):
                 most = int(ids.max())
                 if most >= len(seen):
@@ -416,7 +416,7 @@ def pack(
 
         batch_type = None
         fresh = waiting = 0
-        for batch in batches:
+        for batch in released(batches):
             batch_type = batch.schema.field("id").type
             for key, ids in zip(batch.column("id"), batch.column("ids")):
                 ids = np.frombuffer(ids.as_py(), "<u4")

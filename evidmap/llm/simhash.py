@@ -25,7 +25,7 @@ from evidmap.llm import hamming
 from evidmap.llm.catalog import query
 from evidmap.llm.components import components
 from evidmap.llm.hamming import Part, flips, mask_of, unsigned
-from evidmap.llm.tables import table, written
+from evidmap.llm.tables import released, table, written
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -90,7 +90,7 @@ def with_fingerprints(
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             fps = [fingerprint(t.as_py(), length) for t in batch.column("text")]
             signed = pa.array(np.array(fps, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -105,7 +105,7 @@ def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, n = np.zeros((64, 64), np.int64), 0
-        for batch in batches:
+        for batch in released(batches):
             block = unsigned(batch, "fp").view(np.uint8).reshape(-1, 8)
             bits = np.unpackbits(block, axis=1, bitorder="little").astype(np.float32)
             both += (bits.T @ bits).astype(np.int64)
@@ -176,7 +176,7 @@ def plan_parts(fps: DataFrame, max_bits: int = MAX_BITS) -> list[Part]:
     exact = [Part(cuts[m][i], 0) for m, i in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             fp = unsigned(batch, "fp")
             for number, part in enumerate(exact):
                 value = (fp & np.uint64(mask_of(part.bits))).view(np.int64)
