@@ -31,6 +31,7 @@ TREATMENT, OUTCOME, GOOD, BAD, RISE, FALL, NEUTRAL, NEGATOR, BREAK = range(9)
 DESIGN, FEMALE, MALE, AGE, STAGE, SPECIAL = range(9, 15)
 CUES = (GOOD, BAD, RISE, FALL, NEUTRAL, NEGATOR, BREAK)
 WHOLE_TEXT = (DESIGN, FEMALE, MALE)  # may reach over the end of a sentence
+NAMED = (TREATMENT, OUTCOME, AGE, STAGE, SPECIAL)
 
 
 @dataclass(frozen=True)
@@ -194,7 +195,8 @@ _SENTENCE_END = r"[.!?]+(?:\s+|$)|[\r\n]+"
 def plain_sentences(text: Column) -> Column:
     """Lower-case words between single blanks, sentences between line ends."""
     lines = F.regexp_replace(F.lower(text), _SENTENCE_END, "\n")
-    return F.regexp_replace(lines, r"[^\p{L}\p{N}\n]+", " ")
+    # most runs are one blank, which stays
+    return F.regexp_replace(lines, r"[^\p{L}\p{N}\n ][^\p{L}\p{N}\n]*| [^\p{L}\p{N}\n]+", " ")
 
 
 # ---- the automaton ---------------------------------------------------------------
@@ -234,9 +236,10 @@ def joined(plain: str) -> tuple[str, list[int]]:
 
 
 def hits_of(text: str, part: ahocorasick.Automaton) -> Iterator[Hit]:
+    hit = Hit._make
     for end, (length, own) in part.iter(text):
         for kind, name in own:
-            yield Hit(end - length, end, kind, name)
+            yield hit((end - length, end, kind, name))
 
 
 # ---- reading what is found -------------------------------------------------------
@@ -244,6 +247,9 @@ def hits_of(text: str, part: ahocorasick.Automaton) -> Iterator[Hit]:
 
 def _taken(hits: Iterable[Hit]) -> list[Hit]:
     """Hits that do not overlap: the first, then the longest."""
+    hits = list(hits)
+    if len(hits) < 2:
+        return hits
     found, end = [], 0
     for hit in sorted(hits, key=lambda h: (h.start, -h.end, h.name)):
         if hit.start >= end:
@@ -358,26 +364,28 @@ def _folded(pairs: Iterable[tuple[str, str, str]]) -> list[tuple[str, str, str]]
 
 def read(text: str, begins: list[int], hits: Iterable[Hit], rules: TagRules, sample: re.Pattern) -> tuple:
     """The fields of an extraction, from the hits in a text."""
-    sentences: dict[int, list[Hit]] = {}
+    sentences: dict[int, dict[int, list[Hit]]] = {}
     whole: dict[int, set[str]] = {}
+    stops = [*begins[1:], math.inf]
     for hit in hits:
-        if hit.kind in WHOLE_TEXT:
-            whole.setdefault(hit.kind, set()).add(hit.name)
+        start, end, kind, name = hit
+        if kind in WHOLE_TEXT:
+            whole.setdefault(kind, set()).add(name)
             continue
-        number = bisect_right(begins, hit.start) - 1
-        if number + 1 == len(begins) or hit.end < begins[number + 1]:
-            sentences.setdefault(number, []).append(hit)
+        number = bisect_right(begins, start) - 1
+        if end < stops[number]:
+            sentences.setdefault(number, {}).setdefault(kind, []).append(hit)
     treatments, outcomes, pairs, fields = [], [], [], {}
     for number in sorted(sentences):
         own = sentences[number]
-        named = {k: _taken(h for h in own if h.kind == k) for k in (TREATMENT, OUTCOME, AGE, STAGE, SPECIAL)}
+        named = {k: _taken(own.get(k, ())) for k in NAMED}
         treatments += [h.name for h in named[TREATMENT]]
         outcomes += [h.name for h in named[OUTCOME]]
         for kind in (AGE, STAGE, SPECIAL):
             if named[kind]:
                 fields.setdefault(kind, named[kind][0].name)
         if named[TREATMENT] and named[OUTCOME]:
-            cues = [h for h in own if h.kind in CUES]
+            cues = [h for k in CUES for h in own.get(k, ())]
             if rules.scoped:
                 cues = _taken(cues)
             tokens = sorted(named[TREATMENT] + named[OUTCOME] + cues)
