@@ -159,3 +159,16 @@ def test_empty(no_docs):
 def test_a_window_of_one_word_is_refused(no_docs):
     with pytest.raises(ValueError):
         d.repeated_words(no_docs, window=1)
+
+
+def test_places_are_whole_numbers_whose_minima_need_no_sorting(spark):
+    rows = spark.range(1000).repartition(7).sortWithinPartitions("id").select("id", d.F.monotonically_increasing_id().alias("sparse"))
+    rows = d.Steps(spark)(rows, "numbers")
+    got = [(r.sparse, r.number) for r in d.numbered(rows).join(rows, "id").orderBy("sparse").collect()]
+    assert [n for _, n in got] == list(range(1000))
+    nodes = np.arange(3, dtype=np.int64).tobytes()
+    runs = spark.createDataFrame([(0, 2, (5 << 31) + 7, 2, nodes)], "head bigint, tail bigint, place bigint, n bigint, nodes binary")
+    windows = d.windows_of(runs)
+    assert sorted((r.left, r.right, r.place) for r in windows.collect()) == [(0, 1, (5 << 31) + 7), (1, 2, (5 << 31) + 8)]
+    least = windows.groupBy("left", "right").agg(d.F.min("place"))
+    assert "SortAggregate" not in least._jdf.queryExecution().executedPlan().toString()
